@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_secrets": secrets.secrets,
+    "op6_mixing": mixing.mixing,
     "op10_quality": quality.quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_secrets": secrets.SQL,
+    "op6_mixing": mixing.SQL,
+}
