@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, quality, secrets
+from . import bpe, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe": bpe.bpe,
     "op4_secrets": secrets.secrets,
     "op6_mixing": mixing.mixing,
     "op10_quality": quality.quality,
