@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality, secrets
+from . import bpe, minhash, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bpe": bpe.bpe,
     "op4_secrets": secrets.secrets,
     "op6_mixing": mixing.mixing,
+    "op7_minhash": minhash.minhash,
     "op10_quality": quality.quality,
 }
 
