@@ -116,7 +116,10 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
-    """The same documents; every span of their texts, overlapping ones merged, is replaced by ``mask``."""
+    """The same documents; every span of their texts, overlapping ones merged, is replaced by ``mask``.
+
+    ``n_chars``, where there is such a column, follows the text.
+    """
     names = docs.columns
     found = scan(docs, keep_columns=tuple(names))
     text = F.col("_k_text")
@@ -129,7 +132,10 @@ def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
 
     rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
     clean = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(text)
-    return found.select(*[(clean if c == "text" else F.col(f"_k_{c}")).alias(c) for c in names])
+    changed = {"text": clean}
+    if "n_chars" in names:
+        changed["n_chars"] = F.when(F.size("spans") > 0, F.char_length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_k_n_chars"))
+    return found.select(*[changed.get(c, F.col(f"_k_{c}")).alias(c) for c in names])
 
 
 SQL = r"""
