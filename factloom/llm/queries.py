@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets
+from . import bpe, minhash, mixing, quality, secrets, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring": substring.substring,
     "op3_bpe": bpe.bpe,
     "op4_secrets": secrets.secrets,
     "op6_mixing": mixing.mixing,
