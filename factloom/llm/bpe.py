@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, partitions, table, written
+from .common import column, partitions, table
 from .winnow import pieces
 
 #: White space as the tokenizer's normaliser sees it; other control characters belong to words.
@@ -73,8 +73,21 @@ def _unpack(blob: bytes) -> list[bytes]:
     return [raw[e - s : e] for s, e in zip(sizes, ends)]
 
 
+def _planes(codes: np.ndarray) -> bytes:
+    """The four bytes of each number, plane by plane: small numbers leave long runs of zeros."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def blocks(docs: DataFrame, id_col: str, text_col: str, parts: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(block, ids, lengths, codes, words): documents' words as positions into ``words``, cut by hash."""
+    """(block, ids, body): documents' words as positions into the block's word lists, one list per hash.
+
+    body holds: words per document, a code per word (0 for the most frequent), each code's place in
+    the lists laid end to end, and then the lists themselves.
+    """
     narrow = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     id_type = narrow.schema["_id"].dataType
 
@@ -89,24 +102,42 @@ def blocks(docs: DataFrame, id_col: str, text_col: str, parts: int, block_bytes:
                     lengths.append(len(found))
                     codes.extend([seen.setdefault(x, len(seen)) for x in found])
                 lists: list[list[str]] = [[] for _ in range(parts)]
-                place = np.empty(len(seen), np.int32)
-                for i, x in enumerate(seen):
-                    p = zlib.crc32(x.encode("utf-8", "surrogatepass")) % parts
-                    place[i] = p
-                    lists[p].append(x)
-                # Words in order of their partition, as they come back.
-                rank = np.empty(len(seen), np.int32)
-                rank[np.argsort(place, kind="stable")] = np.arange(len(seen), dtype=np.int32)
-                words = [_pack("\n".join(x).encode("utf-8", "surrogatepass")) if x else None for x in lists]
-                body = _pack(np.array(lengths, np.int64).tobytes(), rank[np.array(codes, np.int64)].astype(np.int32).tobytes())
+                for x in sorted(seen):
+                    lists[zlib.crc32(x.encode("utf-8", "surrogatepass")) % parts].append(x)
+                place = np.empty(len(seen), np.int64)
+                place[np.fromiter((seen[x] for some in lists for x in some), np.int64, len(seen))] = np.arange(len(seen))
+                code = np.array(codes, np.int64)
+                order = np.argsort(-np.bincount(code, minlength=len(seen)), kind="stable")
+                rank = np.empty(len(seen), np.int64)
+                rank[order] = np.arange(len(seen))
+                words = [_pack("\n".join(x).encode("utf-8", "surrogatepass")) if x else b"" for x in lists]
+                head = _pack(np.array(lengths, np.int64).tobytes(), _planes(rank[code]), _planes(place[order]))
+                body = b"".join([np.array([len(x) for x in (head, *words)], np.int64).tobytes(), head, *words])
                 ids = pa.ListArray.from_arrays(pa.array([0, piece.num_rows], pa.int32()), column(piece, "_id"))
-                yield pa.RecordBatch.from_arrays([pa.array([(task << 32) | made]), ids, pa.array([body]), pa.array([words], pa.list_(pa.binary()))], ["block", "ids", "body", "words"])
+                yield pa.RecordBatch.from_arrays([pa.array([(task << 32) | made]), ids, pa.array([body], pa.binary())], ["block", "ids", "body"])
                 made += 1
 
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("body", T.BinaryType()), T.StructField("words", T.ArrayType(T.BinaryType()))])
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(id_type)), T.StructField("body", T.BinaryType())])
     return narrow.mapInArrow(pack, schema)
 
 
+def _cut(body: bytes, parts: int) -> list[bytes]:
+    """Of a body its head and its lists."""
+    sizes = np.frombuffer(body, np.int64, parts + 1)
+    ends = 8 * (parts + 1) + np.cumsum(sizes)
+    return [body[e - n : e] for n, e in zip(sizes, ends)]
+
+
+def _lists(parts: int):
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, body in zip(column(batch, "block").to_pylist(), column(batch, "body").to_pylist()):
+                found = [(p, x) for p, x in enumerate(_cut(body, parts)[1:]) if x]
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(found), pa.int64()), pa.array([p for p, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())], ["block", "part", "list"])
+
+    return lists
+
+
 def _encode_lists(path: str):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of one word partition follow each other; the word table is kept while it lasts."""
@@ -137,21 +168,22 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     spark = docs.sparkSession
     path = path or default_path()
     parts = parts or 2 * partitions(spark)
-    made = written(blocks(docs, id_col, text_col, parts, block_bytes), "blocks")
+    # Both uses read all columns, so that one shuffle of the blocks serves them.
+    made = blocks(docs, id_col, text_col, parts, block_bytes).repartition(partitions(spark), "block")
     id_type = made.schema["ids"].dataType.elementType
-    lists = made.select("block", F.posexplode("words").alias("part", "list")).where("list IS NOT NULL")
+    lists = made.mapInArrow(_lists(parts), "block long, part int, list binary")
     lists = lists.repartition(parts, "part").sortWithinPartitions("part", "block")
     coded = lists.mapInArrow(_encode_lists(path), "block long, part int, encoded binary")
     back = coded.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("part", "encoded"))).alias("lists"))
-    joined = made.select("block", "ids", "body").join(back.select("block", "lists.encoded"), "block", "left")
+    joined = made.join(back.select("block", "lists.encoded"), "block", "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name = _pieces(path)
         for batch in batches:
             for row in range(batch.num_rows):
                 ids = column(batch, "ids")[row].values
-                raw = _unpack(column(batch, "body")[row].as_py())
-                lengths, codes = np.frombuffer(raw[0], np.int64), np.frombuffer(raw[1], np.int32)
+                raw = _unpack(_cut(column(batch, "body")[row].as_py(), parts)[0])
+                lengths, codes = np.frombuffer(raw[0], np.int64), _numbers(raw[2])[_numbers(raw[1])]
                 got = [_unpack(x) for x in column(batch, "encoded")[row].as_py() or []]
                 counts = np.frombuffer(b"".join(x[0] for x in got), np.int32).astype(np.int64)
                 flat = np.frombuffer(b"".join(x[1] for x in got), np.int32)
