@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets, substring
+from . import bpe, minhash, mixing, quality, secrets, substring, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring": substring.substring,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": secrets.secrets,
     "op6_mixing": mixing.mixing,
     "op7_minhash": minhash.minhash,
+    "op8_suffix": suffix.suffix,
     "op10_quality": quality.quality,
 }
 
