@@ -3,8 +3,13 @@
 Documents with one shingle set form a class.  A class keeps its k smallest shingle hashes.  Inverted
 lists of retained values bring classes of similar size together; a list that is too long is split by
 further retained values until it is short, so common shingles cost no pairs.  In a list the sketch of
-the union estimates the similarity; what passes is verified on the full sets.  First only a spanning
-forest of each list is verified, then all passing pairs that join different components.
+the union estimates the similarity; what passes is verified on the full sets.
+
+Dense groups must not be paired off.  Each class first names the smaller classes that share most
+value pairs with it; these chains, and spanning forests of the lists that join several chains, gather
+classes into families outside of which no pair passes the estimate.  Chains and forests are verified
+first.  Inside a family only blocks of classes that this left in different components are compared,
+on full sets, and no pair is verified whose components have met.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from typing import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +29,10 @@ from .components import components
 
 #: Retained values per class.
 K = 32
+#: Pairs of the first so many values name a class's centre.
+CHAINED, CENTRES = 4, 3
 #: Values that start a list, and values tried for each further split.
-STARTS, STEPS, DEPTH = 8, 3, 8
+STARTS, STEPS, DEPTH = 8, 3, 3
 #: A list of more classes than this is split.
 LIST_MOST = 128
 #: Union-sketch estimates below this are dropped: more than four standard deviations under 0.8.
@@ -70,29 +77,56 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     return narrow.mapInArrow(run, schema)
 
 
+def _bucket():
+    return F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))).cast("int")
+
+
+def _chains(classes: DataFrame) -> DataFrame:
+    """(a, b, best): for each class the smaller ones that share most value pairs with it, if the sketches pass."""
+    pairs = F.array(*[F.xxhash64(F.get("sketch", F.lit(i)), F.get("sketch", F.lit(j)), "b") for j in range(CHAINED) for i in range(j)])
+    both = F.explode(F.array("b", F.col("b") + 1))
+    rows = classes.select("cid", "sketch", _bucket().alias("b")).where(F.size("sketch") >= CHAINED).select("cid", "sketch", both.alias("b"))
+    rows = rows.select("cid", F.explode(pairs).alias("key"))
+    centres = rows.groupBy("key").agg(F.min("cid").alias("centre"), F.count("*").alias("members")).where("members > 1").drop("members")
+    votes = rows.join(centres, "key").where("centre < cid").groupBy("cid", "centre").agg(F.count("*").alias("votes"))
+    ranked = F.slice(F.sort_array(F.collect_list(F.struct("votes", -F.col("centre"))), asc=False), 1, CENTRES)
+    # A class has at most 2 * 6 keys, so at most as many centres.
+    best = votes.groupBy("cid").agg(ranked.alias("r")).select("cid", F.posexplode("r").alias("rank", "c")).select("cid", (F.col("rank") == 0).alias("best"), (-F.col("c.col2")).alias("centre"))
+    side = lambda c, key: classes.select(F.col("cid").alias(key), F.col("n").alias(f"n_{c}"), _small().alias(f"s_{c}"))
+    rows = best.join(side("a", "centre"), "centre").join(side("b", "cid"), "cid").select(F.col("centre").alias("a"), F.col("cid").alias("b"), "best", "n_a", "n_b", "s_a", "s_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            e = estimate(_matrix(column(batch, "s_a")), _matrix(column(batch, "s_b")), column(batch, "n_a").to_numpy(), column(batch, "n_b").to_numpy())
+            ok = pa.array(e >= ESTIMATE_LEAST)
+            yield pa.RecordBatch.from_arrays([column(batch, c).filter(ok) for c in ("a", "b", "best")], ["a", "b", "best"])
+
+    return rows.mapInArrow(run, "a long, b long, best boolean")
+
+
 def _lists(classes: DataFrame) -> DataFrame:
-    """(key, cid): lists of at most LIST_MOST classes, together with exact blocks of those that can't be split."""
-    bucket = F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))).cast("int")
-    length = F.size("sketch")
-    at = classes.select("cid", length.alias("len"), F.posexplode(F.slice("sketch", 1, STARTS)).alias("pos", "value"), bucket.alias("b"))
-    at = at.select("cid", "len", "pos", F.explode(F.array(F.xxhash64("value", "b"), F.xxhash64("value", F.col("b") + 1))).alias("key"))
+    """(key, cid, comp): lists of at most LIST_MOST classes that span components, with exact blocks of those that can't be split.
+
+    classes: (cid, n, sketch, comp).
+    """
+    at = classes.select("cid", "comp", F.size("sketch").alias("len"), F.posexplode(F.slice("sketch", 1, STARTS)).alias("pos", "value"), _bucket().alias("b"))
+    at = at.select("cid", "comp", "len", "pos", F.explode(F.array(F.xxhash64("value", "b"), F.xxhash64("value", F.col("b") + 1))).alias("key"))
     done, depth = [], 1
     while True:
-        at = written(at, f"level{depth}")
-        counts = at.groupBy("key").agg(F.count("*").alias("members"), F.max(F.col("pos") + 1 >= F.col("len")).alias("ended")).where("members > 1")
-        known = written(at.join(counts, "key"), f"lists{depth}")
-        done.append(known.where(F.col("members") <= LIST_MOST).select("key", "cid"))
+        counts = at.groupBy("key").agg(F.count("*").alias("members"), F.max(F.col("pos") + 1 >= F.col("len")).alias("ended"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        known = written(at.join(counts.where("members > 1 AND lo < hi").drop("lo", "hi"), "key"), f"lists{depth}")
+        done.append(known.where(F.col("members") <= LIST_MOST).select("key", "cid", "comp"))
         last = F.lit(depth >= DEPTH) | F.col("ended")
         rest = known.where((F.col("members") > LIST_MOST) & last)
         if not rest.isEmpty():
-            done.append(_blocked(rest))
-        long = known.where((F.col("members") > LIST_MOST) & ~last).select("key", "cid", "pos", "len")
+            done.append(_spread(rest.select("key", "cid", "comp")))
+        long = known.where((F.col("members") > LIST_MOST) & ~last).select("key", "cid", "comp", "pos", "len")
         if long.isEmpty():
             return _union(done)
         # Two similar classes of a long list share a further value among the next few with certainty close to one.
         ahead = F.posexplode(F.slice("sketch", F.col("pos") + 2, STEPS)).alias("step", "value")
-        at = long.join(classes.select("cid", "sketch"), "cid").select("cid", "len", "key", "pos", ahead)
-        at = at.select("cid", "len", (F.col("pos") + 1 + F.col("step")).alias("pos"), F.xxhash64("key", "value").alias("key"))
+        at = long.join(classes.select("cid", "sketch"), "cid").select("cid", "comp", "len", "key", "pos", ahead)
+        at = at.select("cid", "comp", "len", (F.col("pos") + 1 + F.col("step")).alias("pos"), F.xxhash64("key", "value").alias("key"))
         depth += 1
 
 
@@ -103,13 +137,25 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _blocked(rest: DataFrame) -> DataFrame:
-    """Long lists that no value splits: every pair of half-size blocks becomes a list, so no pair is lost."""
+def _spread(lists: DataFrame) -> DataFrame:
+    """(key, cid, comp): lists of any length as blocks of about half of LIST_MOST and all pairs of blocks.
+
+    A component that fills blocks has blocks of its own, and these aren't paired with each other:
+    every pair of classes of different components meets in a list, few others do.
+    """
     half = LIST_MOST // 2
-    blocks = F.ceil(F.col("members") / half).cast("int")
-    mine = F.pmod(F.xxhash64("cid", F.lit(5)), blocks).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.xxhash64("key", F.least(mine, other), F.greatest(mine, other)))
-    return rest.select(F.explode(pair).alias("key"), "cid")
+    sizes = lists.groupBy("key", "comp").agg(F.count("*").alias("own"))
+    big = F.col("own") >= half
+    wide = F.ceil(F.col("own") / half).cast("int")
+    # Large components of a list follow each other; their number is at most its length over half.
+    before = Window.partitionBy("key").orderBy("comp").rowsBetween(Window.unboundedPreceding, -1)
+    large = sizes.where(big).select("key", "comp", wide.alias("wide")).withColumn("lo", F.coalesce(F.sum("wide").over(before), F.lit(0)).cast("int"))
+    totals = sizes.groupBy("key").agg(F.sum(F.when(big, wide).otherwise(0)).cast("int").alias("high"), F.ceil(F.sum(F.when(~big, F.col("own")).otherwise(0)) / half).cast("int").alias("low"))
+    rows = lists.join(totals, "key").join(large, ["key", "comp"], "left")
+    mine = F.when(F.col("wide").isNull(), F.col("high") + F.pmod(F.xxhash64("comp", F.lit(5)), F.greatest("low", F.lit(1)))).otherwise(F.col("lo") + F.pmod(F.xxhash64("cid", F.lit(5)), "wide")).cast("int")
+    others = F.filter(F.sequence(F.lit(0), F.col("high") + F.col("low") - 1), lambda x: F.col("wide").isNull() | (x < F.col("lo")) | (x >= F.col("lo") + F.col("wide")))
+    rows = rows.select("key", "cid", "comp", mine.alias("mine"), F.explode(others).alias("other"))
+    return rows.select(F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("key"), "cid", "comp")
 
 
 def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) -> np.ndarray:
@@ -139,17 +185,14 @@ def _forest(pairs: list[tuple[float, int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _pairs(lists: DataFrame, classes: DataFrame, forest: bool) -> DataFrame:
-    """Distinct pairs (a < b) of classes that pass the estimate; lists: (key, cid[, comp])."""
-    across = "comp" in lists.columns
-    rows = lists.join(classes.select("cid", "n", "sketch"), "cid")
-    small = F.transform("sketch", lambda v: F.shiftrightunsigned(v, 32))
-    rows = rows.select("key", "cid", (F.col("comp") if across else F.col("cid")).alias("comp"), "n", small.alias("sketch"))
+def _forests(lists: DataFrame, classes: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b): of every list a spanning forest of the pairs across components that pass the estimate."""
+    rows = lists.join(classes.select("cid", "n", _small().alias("sketch")), "cid").select("key", "cid", "comp", "n", "sketch")
     rows = rows.repartition(partitions(lists.sparkSession) * 2, "key").sortWithinPartitions("key", "cid")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _whole_lists(batches):
-            yield _list_pairs(some, forest)
+            yield _list_forests(some)
 
     return rows.mapInArrow(run, "a long, b long").distinct()
 
@@ -172,13 +215,21 @@ def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield held
 
 
-def _list_pairs(rows: pa.Table, forest: bool) -> pa.RecordBatch:
-    key, cid, comp, n = (rows.column(c).to_numpy() for c in ("key", "cid", "comp", "n"))
-    flat = rows.column("sketch").combine_chunks()
-    sketch = np.full((len(key), K), _PAD, np.uint32)
+def _small():
+    """The sketch's upper halves, which is enough to compare sketches by."""
+    return F.transform("sketch", lambda v: F.shiftrightunsigned(v, 32))
+
+
+def _matrix(flat: pa.ListArray) -> np.ndarray:
+    sketch = np.full((len(flat), K), _PAD, np.uint32)
     lengths = np.diff(flat.offsets.to_numpy())
-    values = flat.values.slice(flat.offsets[0].as_py(), int(lengths.sum())).to_numpy().astype(np.uint32)
-    sketch[np.arange(K)[None, :] < lengths[:, None]] = values
+    sketch[np.arange(K)[None, :] < lengths[:, None]] = flat.flatten().to_numpy().astype(np.uint32)
+    return sketch
+
+
+def _list_forests(rows: pa.Table) -> pa.RecordBatch:
+    key, cid, comp, n = (rows.column(c).to_numpy() for c in ("key", "cid", "comp", "n"))
+    sketch = _matrix(rows.column("sketch").combine_chunks())
     start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
     members = np.diff(np.concatenate([start, [len(key)]]))
     out_a, out_b = [], []
@@ -195,7 +246,7 @@ def _list_pairs(rows: pa.Table, forest: bool) -> pa.RecordBatch:
             e = estimate(sketch[a], sketch[b], n[a], n[b])
             ok = e >= ESTIMATE_LEAST
             a, b, e, owner = cid[a[ok]], cid[b[ok]], e[ok], owner[ok]
-            if forest and m > 2 and len(a):
+            if m > 2 and len(a):
                 cuts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])).tolist() + [len(a)]
                 for x, y in zip(cuts, cuts[1:]):
                     tree = _forest(list(zip(e[x:y].tolist(), a[x:y].tolist(), b[x:y].tolist())))
@@ -255,6 +306,65 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, linked boolean")
 
 
+def _settled(lists: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(a, b) links, verified on full sets, that join every two components of a list that any pair links."""
+    rows = lists.join(classes.select("cid", "n", _small().alias("sketch")), "cid").join(texts, "cid").select("key", "cid", "comp", "n", "sketch", "blob")
+    rows = rows.repartition(partitions(lists.sparkSession) * 2, "key").sortWithinPartitions("key", "cid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        undo = zstandard.ZstdDecompressor()
+        for some in _whole_lists(batches):
+            key = some.column("key").to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])).tolist()
+            found = [_settle(some.slice(x, y - x), undo, size) for x, y in zip(cuts, cuts[1:]) if y - x > 1]
+            links = [p for f in found for p in f]
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in links], pa.int64()), pa.array([p[1] for p in links], pa.int64())], ["a", "b"])
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _settle(rows: pa.Table, undo: zstandard.ZstdDecompressor, size: int) -> list[tuple[int, int]]:
+    cid, comp, n = (rows.column(c).to_numpy() for c in ("cid", "comp", "n"))
+    sketch = _matrix(rows.column("sketch").combine_chunks())
+    i, j = np.triu_indices(len(cid), 1)
+    ok = (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])) & (comp[i] != comp[j])
+    i, j = i[ok], j[ok]
+    e = estimate(sketch[i], sketch[j], n[i], n[j])
+    order = np.argsort(-e, kind="stable")
+    order = order[: int((e >= ESTIMATE_LEAST).sum())]
+    if not len(order):
+        return []
+    sets: dict[int, np.ndarray] = {}
+    parent = {c: c for c in set(comp.tolist())}
+    blobs = rows.column("blob")
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    def full(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = shingles(winnow.texts(pa.array([undo.decompress(blobs[k].as_py())], pa.binary())), size)[0]
+        return sets[k]
+
+    links = []
+    for x, y in zip(i[order].tolist(), j[order].tolist()):
+        a, b = root(int(comp[x])), root(int(comp[y]))
+        if a == b:
+            continue
+        p, q = full(x), full(y)
+        both = np.intersect1d(p, q, assume_unique=True).size
+        if 100 * both >= PERCENT * (len(p) + len(q) - both):
+            parent[max(a, b)] = min(a, b)
+            links.append((int(cid[x]), int(cid[y])))
+    return links
+
+
+def _with_components(classes: DataFrame, found: DataFrame) -> DataFrame:
+    return classes.join(found, F.col("cid") == F.col("node"), "left").select("cid", "n", "sketch", F.coalesce("component", "cid").alias("comp"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
     """(id, _tag, n_shingles, component_id, kept) of every document.
 
@@ -265,18 +375,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = written(_sets(docs, id_col, text_col, shingle), "sets")
     classes = rows.where("n > 0").groupBy("s1", "s2").agg(F.min("_id").alias("least"), F.min(F.struct("_id", "_tag")).alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    lists = written(_lists(classes.select("cid", "n", "sketch")), "lists")
-    first = written(_pairs(lists, classes, forest=True), "first")
-    touched = first.select(F.col("a").alias("cid")).union(first.select("b")).distinct()
-    texts = written(_texts(docs, classes, touched, id_col, text_col), "texts")
-    judged = written(_verified(first, texts, shingle), "judged")
-    links = judged.where("linked").select("a", "b")
+    sketches = classes.select("cid", "n", "sketch")
+    chains = written(_chains(sketches), "chains")
+    lists = _lists(_with_components(sketches, components(chains, "a", "b")))
+    forests = written(_forests(lists, sketches), "forests")
+    # Every class with a passing partner is in a chain or in a forest, and so is every passing pair in one family.
+    families = written(components(chains.select("a", "b").union(forests), "a", "b"), "families")
+    texts = written(_texts(docs, classes, families.select(F.col("node").alias("cid")), id_col, text_col), "texts")
+    first = chains.where("best").select("a", "b").union(forests).distinct()
+    links = written(_verified(first, texts, shingle).where("linked").select("a", "b"), "links")
     found = written(components(links, "a", "b"), "found")
-    # Only classes that some estimate joined can still be linked; lists inside one component are done.
-    open_lists = lists.join(touched, "cid", "left_semi").join(found, F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("component", "cid").alias("comp"))
-    mixed = open_lists.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    second = _pairs(open_lists.join(mixed, "key", "left_semi"), classes, forest=False).join(judged, ["a", "b"], "left_anti")
-    more = written(_verified(written(second, "second"), texts, shingle), "judged2").where("linked").select("a", "b")
+    inside = families.select(F.col("node").alias("cid"), F.col("component").alias("key")).join(found, F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("component", "cid").alias("comp"))
+    inside = written(inside, "inside")
+    mixed = inside.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    more = written(_settled(_spread(inside.join(mixed, "key", "left_semi")), sketches, texts, shingle), "more")
     if not more.isEmpty():
         found = components(links.union(more), "a", "b")
     named = classes.select("cid", "s1", "s2", "least").join(found, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "cid"))
