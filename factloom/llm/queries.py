@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets, substring, suffix
+from . import bpe, minhash, mixing, quality, secrets, substring, suffix, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": warc.warc,
     "op2_substring": substring.substring,
     "op3_bpe": bpe.bpe,
     "op4_secrets": secrets.secrets,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_warc": warc.SQL,
     "op4_secrets": secrets.SQL,
     "op6_mixing": mixing.SQL,
 }
