@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets, substring, suffix, warc
+from . import bpe, minhash, mixing, quality, secrets, substring, suffix, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.warc,
     "op2_substring": substring.substring,
     "op3_bpe": bpe.bpe,
     "op4_secrets": secrets.secrets,
+    "op5_vectors": vectors.vectors,
     "op6_mixing": mixing.mixing,
     "op7_minhash": minhash.minhash,
     "op8_suffix": suffix.suffix,
