@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, minhash, mixing, quality, secrets, substring, suffix, vectors, warc
+from . import bpe, language, minhash, mixing, quality, secrets, substring, suffix, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.warc,
@@ -17,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": mixing.mixing,
     "op7_minhash": minhash.minhash,
     "op8_suffix": suffix.suffix,
+    "op9_language": language.language,
     "op10_quality": quality.quality,
 }
 
