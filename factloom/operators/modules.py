@@ -60,18 +60,20 @@ def assemble(files: DataFrame, functions: DataFrame, edges: DataFrame, cap: int
     with_code = functions.select("file").distinct()
     headers = F.col("file").rlike(r"\.(h|hpp)$")
     # Headers without functions belong to no module (P5).
-    kept = files.join(with_code.withColumn("_code", F.lit(True)), "file", "left").where(~headers | F.col("_code")).drop("_code")
+    # Each step is used several times further on, so each is a table.
+    functions = graph._cut(functions)
+    kept = graph._cut(files.join(with_code.withColumn("_code", F.lit(True)), "file", "left").where(~headers | F.col("_code")).drop("_code"))
     init = R.any_of(functions, ["file"], F.lower("name").rlike(INIT), "init").where("init").select("file")
-    edges = edges.where("src <> dst").select("src", "dst").distinct()
+    edges = graph._cut(edges.where("src <> dst").select("src", "dst").distinct())
     place = lambda c: F.struct(X.dir_name(c).alias("d"))
     founders = kept.join(init, "file", "left_semi").select(F.col("file").alias("founder"), X.stem("file").alias("module"))
     direct = founders.join(edges, F.col("founder") == F.col("src")).where(place("src") == place("dst")).select("module", "founder", F.col("dst").alias("file"))
     direct = direct.join(founders.select(F.col("founder").alias("file")), "file", "left_anti").join(kept.select("file"), "file", "left_semi")
     direct = R.first_by(direct, ["file"], ["founder"])
-    first = founders.select("module", F.col("founder").alias("file")).union(direct.select("module", "file"))
+    first = graph._cut(founders.select("module", F.col("founder").alias("file")).union(direct.select("module", "file")))
     rest = kept.join(first.select("file"), "file", "left_anti")
     inside = edges.join(rest.select(F.col("file").alias("src"), "dir"), "src").join(rest.select(F.col("file").alias("dst"), F.col("dir").alias("dir2")), "dst").where("dir = dir2").select("dir", "src", "dst")
-    packed = capped_components(rest.select("dir", "file", "size"), inside, cap)
+    packed = graph._cut(capped_components(graph._cut(rest.select("dir", "file", "size")), graph._cut(inside), cap))
     stems = packed.withColumn("stem", X.stem("file"))
     named = stems.groupBy("dir", "component").agg(F.count("*").alias("n"), F.min("stem").alias("only")).join(R.common_prefix(stems, ["dir", "component"], "stem"), ["dir", "component"])
     order = Window.partitionBy("dir").orderBy("component")
@@ -79,11 +81,11 @@ def assemble(files: DataFrame, functions: DataFrame, edges: DataFrame, cap: int
     prefix = F.regexp_replace("prefix", "_$", "")
     by_dir = F.when(F.col("parts") > 1, F.concat(X.base_name("dir"), F.lit("_"), "i")).otherwise(X.base_name("dir"))
     named = named.select("dir", "component", F.when(F.col("n") == 1, F.col("only")).when(F.char_length("prefix") > 2, prefix).otherwise(F.when(F.col("dir") == "", F.lit("root")).otherwise(by_dir)).alias("module"))
-    members = first.select("module", "file", X.dir_name("file").alias("dir")).union(packed.join(named, ["dir", "component"]).select("module", "file", "dir"))
+    members = graph._cut(first.select("module", "file", X.dir_name("file").alias("dir")).union(packed.join(named, ["dir", "component"]).select("module", "file", "dir")))
     # Equal names in different directories are told apart by the directory.
     clash = members.groupBy("module").agg((F.count_distinct("dir") > 1).alias("clash"))
     members = members.join(clash, "module").select(F.when(F.col("clash"), F.concat("dir", F.lit("/"), "module")).otherwise(F.col("module")).alias("module"), "file")
-    modules = members.withColumn("ord", F.row_number().over(Window.partitionBy("module").orderBy("file"))).select("module", "ord", "file")
+    modules = graph._cut(members.withColumn("ord", F.row_number().over(Window.partitionBy("module").orderBy("file"))).select("module", "ord", "file"))
     rolled = R.group_edges(edges, modules, "src", "dst", "file", "module")
     spark = files.sparkSession
     main = functions.where("name = 'main'").join(modules, "file").orderBy("file").select("module").limit(1)

@@ -81,6 +81,8 @@ def facts(files: DataFrame, startup: DataFrame | None = None, includes_at: DataF
     every = of("global").select("name", F.col("value").alias("type_text"), F.col("file").alias("defined_in"), (F.col("extra") == "definition").alias("is_definition"), "ord")
     globals_ = R.last_wins(R.definitions_only(every), ["name", "defined_in"], ["ord"], ["type_text", "is_definition"]).select("name", "type_text", "defined_in", "is_definition")
     semi = lambda t: uses.join(t.select("name").distinct(), "name", "left_semi").distinct()
+    # Everything below reads these many times, so they are tables.
+    functions, edges, includes, type_uses, macros, globals_ = map(graph._cut, (functions, edges, includes, type_uses, macros, globals_))
     return Facts(names, functions, real, edges, includes, types, fields, values, type_uses, typedefs, macros, semi(macros), globals_, semi(globals_))
 
 
