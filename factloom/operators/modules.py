@@ -111,6 +111,6 @@ def tree_text(tree: DataFrame) -> DataFrame:
     parts = F.split("path", "/", -1)
     ancestors = F.transform(F.sequence(F.lit(1), F.col("depth") - 1), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
     rows = flagged.withColumn("a_path", F.explode_outer(F.when(F.col("depth") > 1, ancestors)))
-    bars = rows.join(above, "a_path", "left").groupBy("path", "depth", "name", "last").agg(F.array_sort(F.collect_list(F.struct("a_depth", "a_last"))).alias("bars"))
+    bars = rows.join(above, "a_path", "left").groupBy("path", "depth", "name", "last").agg(F.array_sort(F.collect_list(F.when(F.col("a_path").isNotNull(), F.struct("a_depth", "a_last")))).alias("bars"))
     prefix = F.array_join(F.transform("bars", lambda b: F.when(b["a_last"], "    ").otherwise("│   ")), "")
     return bars.select("path", F.concat(prefix, F.when(F.col("last"), "└── ").otherwise("├── "), "name").alias("line")).orderBy(F.split("path", "/", -1))
