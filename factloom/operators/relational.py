@@ -44,7 +44,7 @@ def ranked_probe(wanted: DataFrame, candidates: DataFrame, on: Sequence[str], ra
 def weak_override(functions: DataFrame, exports: DataFrame, name: str, weak: str) -> DataFrame:
     """Weak symbols (J6): strong exports are always added, weak ones unless the name is defined."""
     strong = exports.where(~F.col(weak))
-    return strong.union(exports.where(F.col(weak)).join(functions.select(name).distinct(), name, "left_anti"))
+    return strong.unionByName(exports.where(F.col(weak)).join(functions.select(name).distinct(), name, "left_anti"))
 
 
 def with_uses(facts: DataFrame, uses: DataFrame, key: str, use: str, out: str = "uses") -> DataFrame:
