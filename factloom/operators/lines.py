@@ -90,3 +90,11 @@ def strip_block_comments(text: Column) -> Column:
     parts = F.split(text, r"(?s)(?=/\*)|(?<=\*/)", -1)
     blank = lambda p: F.when(F.startswith(p, F.lit("/*")), F.regexp_replace(p, r"[^\n]+", "")).otherwise(p)
     return F.array_join(F.transform(parts, blank), "")
+
+
+def variable_line(text: Column, name: str) -> Column:
+    """Line of a variable's definition (P13): the first with the name after a blank, star or tab, else the last that has it."""
+    lines = F.split(text, "\n", -1)
+    at = lambda test: F.filter(F.transform(lines, lambda x, i: F.when(test(x), i + 1)), lambda i: i.isNotNull())
+    good = at(lambda x: F.contains(x, F.lit(f" {name}")) | F.contains(x, F.lit(f"*{name}")) | F.contains(x, F.lit(f"\t{name}")))
+    return F.coalesce(F.array_min(good), F.array_max(at(lambda x: F.contains(x, F.lit(name)))))

@@ -112,6 +112,11 @@ def test_text_functions(spark):
     assert [r[0] for r in one.select(F.explode(X.all_matches(F.lit('#include "a.h"\n # include <b.h>'), X.INCLUDE_NAMES))).collect()] == ["a.h", "b.h"]
 
 
+def test_variable_line(spark):
+    one = spark.createDataFrame([("x1;\nint x;\nint *x = 0;\nuse(x)",)], "t string")
+    assert one.select(lines.variable_line(F.col("t"), "x"), lines.variable_line(F.col("t"), "use"), lines.variable_line(F.col("t"), "zz")).first()[:] == (2, 4, None)
+
+
 def test_members_and_samples(spark):
     groups = spark.createDataFrame([("m", "lib/a.c")], "module string, path string")
     facts = spark.createDataFrame([("g", "lib/a.c"), ("h", "xlib/a.c.bak")], "name string, at string")
