@@ -1,9 +1,9 @@
 """Secret scans with DataFrame functions only: fixed patterns, and a corpus-wide ownership frequency.
 
 Base kinds are found by pattern alone.  Besides, every long token of letters and digits is a
-candidate; candidates are counted over the corpus by distinct repositories and owners.  One that
-many owners hold is a copied example; one that a single owner holds in few repositories looks live
-and is added to the spans as ``owned``.
+candidate; candidates are counted over the corpus by distinct owners.  One that a single owner
+holds, in however many repositories, looks live and is added to the spans as ``owned``; one that
+EXAMPLE_OWNERS or more hold is a copied example; any other is shared, and counted as such.
 """
 
 from __future__ import annotations
@@ -19,8 +19,6 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ASSIGN_LENGTH = 8
-#: An added candidate is held by one owner, in at most so many repositories.
-LIVE_REPOSITORIES = 3
 #: From so many owners on a value counts as a copied example.
 EXAMPLE_OWNERS = 3
 KINDS = ("assign", "access", "hex", "owned")
@@ -56,7 +54,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposi
 
     Null and empty texts have no spans.  Rows are told apart by position, so repeated rows and null
     ids each get their own result row.  A null repository or owner counts as one value of its own.
-    A candidate that overlaps a base span isn't added.  ``keep_columns`` pass through as ``_k_<name>``.
+    A candidate that overlaps a base span isn't added.  ``n_live``, ``n_shared`` and ``n_example`` count
+    the spans of each verdict, and ``repositories`` is the largest number of repositories that hold one
+    of the live values.  ``keep_columns`` pass through as ``_k_<name>``.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     assign = F.filter(_found(text, ASSIGN, 0, F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))), lambda s: F.char_length(s["value"]) >= ASSIGN_LENGTH)
@@ -81,11 +81,13 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposi
         .groupBy("value", "_owner").agg(F.count("*").alias("n"))
         .groupBy("value").agg(F.sum("n").alias("repositories"), F.count("*").alias("owners"))
     )
-    live = (F.col("owners") == 1) & (F.col("repositories") <= LIVE_REPOSITORIES)
+    live = F.col("owners") == 1
     judged = values.join(frequency, "value").groupBy("_row").agg(
         F.array_sort(F.collect_list(F.when(live & (F.col("rank") == 3), F.struct("start", "rank", "end")))).alias("added"),
         F.count(F.when(F.col("owners") >= EXAMPLE_OWNERS, 1)).alias("n_example"),
         F.count(F.when(live, 1)).alias("n_live"),
+        F.count(F.when(~live & (F.col("owners") < EXAMPLE_OWNERS), 1)).alias("n_shared"),
+        F.max(F.when(live, F.col("repositories"))).alias("repositories"),
     )
     plain = lambda spans: F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"]))
     base = plain(F.col("base"))
@@ -96,6 +98,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposi
         F.array_sort(F.concat(base, added)).alias("spans"),
         F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"),
         F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"),
+        F.coalesce("n_shared", F.lit(0)).cast("long").alias("n_shared"),
+        F.coalesce("repositories", F.lit(0)).cast("long").alias("repositories"),
         *[F.col(f"_k_{c}") for c in keep_columns],
     )
 

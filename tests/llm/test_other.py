@@ -116,6 +116,16 @@ def test_secrets(spark):
     assert [s for s in by[9].spans if s["rank"] == 3] and not [s for s in by[len(texts) - 1].spans if s["rank"] == 3]
 
 
+def test_secrets_of_one_owner(spark):
+    value = lambda k: f"Aa11Bb22Cc33Dd44Ee55Ff{k}"
+    owners = {60: ["s"] * 12, 61: ["s"] * 6 + ["t"] * 6, 62: ["s", "t", "u"], 63: [None] * 5}
+    held = [(k, o) for k, some in owners.items() for o in some]
+    df = spark.createDataFrame([(i, f"key {value(k)} end", "en", o, None, "c", 1, "w") for i, (k, o) in enumerate(held)], SCHEMA)
+    verdicts = {(k, r.n_live, r.n_shared, r.n_example, r.repositories, len(r.spans)) for r in secrets.scan(df).collect() for k in [held[r.doc_id][0]]}
+    assert verdicts == {(60, 1, 0, 0, 12, 1), (61, 0, 1, 0, 0, 0), (62, 0, 0, 1, 0, 0), (63, 1, 0, 0, 5, 1)}
+    assert {held[r.doc_id][0] for r in secrets.redacted(df).collect() if r.text == "key [SECRET] end"} == {60, 63}
+
+
 def test_redaction(spark):
     rows = [(i, x, "en", "s", 0, "c", 1, "w") for i, x in enumerate(TEXTS)]
     df = spark.createDataFrame(rows, SCHEMA)
