@@ -239,6 +239,18 @@ def q_components(spark, d):
     return G.components(_t(spark, d, "supplier").where("s_acctbal > 6000").select((F.col("s_suppkey") % 40).alias("src"), (F.lit(100).cast("long") + F.col("s_nationkey")).alias("dst")))
 
 
+@query()
+def q_components_all(spark, d):
+    """Suppliers and customers with their nations, orders with their customers: all rows under their own keys.
+
+    ``q_components`` is a slice of this that a quadratic closure in SQL can follow.
+    """
+    k = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
+    edges = _t(spark, d, "supplier").select(k("s", "s_suppkey").alias("src"), k("n", "s_nationkey").alias("dst"))
+    edges = edges.union(_t(spark, d, "customer").select(k("c", "c_custkey"), k("n", "c_nationkey"))).union(_t(spark, d, "orders").select(k("o", "o_orderkey"), k("c", "o_custkey")))
+    return G.components(edges)
+
+
 @query()
 def q_capped_pack(spark, d):
     """Documents of a source packed in order of their ids into modules of at most 131,072 characters."""

@@ -1,5 +1,7 @@
 """Operators on small tables, properties, and all queries against DuckDB."""
 
+import random
+
 import duckdb
 import pytest
 from hypothesis import given, settings
@@ -80,6 +82,24 @@ def test_cycles_go(pairs):
     assert not any(reaches(x, x) for x in after)
 
 
+def test_components_of_all_rows(spark, tmp_path):
+    rng = random.Random(6)
+    tables = {
+        "supplier": ("s_suppkey long, s_nationkey int, s_acctbal double", [(i, rng.randrange(6), rng.uniform(-900, 9900)) for i in range(90)]),
+        "customer": ("c_custkey long, c_nationkey int", [(i, rng.randrange(25)) for i in range(60)]),
+        "orders": ("o_orderkey long, o_custkey long", [(i, rng.randrange(90)) for i in range(150)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    pairs = [(f"{a}{r[0]}", f"{b}{r[1]}") for a, b, name in (("s", "n", "supplier"), ("c", "n", "customer"), ("o", "c", "orders")) for r in tables[name][1]]
+    least = {v: v for p in pairs for v in p}
+    while any(least[a] != least[b] for a, b in pairs):
+        for a, b in pairs:
+            least[a] = least[b] = min(least[a], least[b])
+    got = {r.v: r.component for r in catalogue.QUERIES["q_components_all"](spark, str(tmp_path)).collect()}
+    assert got == least and len(set(got.values())) > 1
+
+
 def test_capped_components(spark):
     files = spark.createDataFrame([("d", f"f{i}", s) for i, s in enumerate([50, 60, 10, 500, 5])], "dir string, file string, size long")
     edges = spark.createDataFrame([("d", "f0", "f1"), ("d", "f0", "f2"), ("d", "f2", "f3"), ("d", "f3", "f4")], "dir string, src string, dst string")
