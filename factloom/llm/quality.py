@@ -19,8 +19,6 @@ from .common import column, table
 
 #: At most so many labelled documents, those of the smallest hashes of their ids, are fitted to.
 SAMPLE_ROWS = 4000
-#: At most so many lines of a sampled document are used for the fit.
-SAMPLE_LINES = 400
 #: Share of a document's word bytes that must lie in content lines.
 CONTENT_SHARE = 0.5
 SHORT_WORDS = 20
@@ -149,7 +147,7 @@ NO_MODEL = Model(np.tile([[0.1, 0.0]], (FEATURES + 1, 1)), np.zeros((2, 2)))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit the field on at most ``sample_rows`` labelled documents; lines take their document's label."""
+    """Fit the field on all lines of at most ``sample_rows`` labelled documents; lines take their document's label."""
     chosen = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
         .groupBy(F.col(id_col).alias("_id"))
@@ -165,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for part in winnow.pieces(batch, "_text"):
                 _, found = measure(winnow.texts(column(part, "_text")))
                 label = column(part, "_label").to_numpy()
-                rows = [found.features[a : min(b, a + SAMPLE_LINES)].ravel() for a, b in zip(found.first[:-1], found.first[1:])]
+                rows = [found.features[a:b].ravel() for a, b in zip(found.first[:-1], found.first[1:])]
                 yield pa.RecordBatch.from_arrays([column(part, "_id"), pa.array(label, pa.int32()), pa.array(rows, pa.list_(pa.int64()))], ["_id", "_label", "f"])
 
     got = rows.mapInArrow(lines, "_id long, _label int, f array<long>").toPandas()

@@ -347,6 +347,18 @@ def test_quality_learns_lines(spark):
     assert quality.fit(docs, labels.limit(0)) == quality.NO_MODEL
 
 
+def test_quality_learns_from_ends_of_long_documents(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 8)))
+    good = lambda n: [" ".join(word() for _ in range(8)).capitalize() + "." for _ in range(n)]
+    bad = lambda n: [" | ".join(word().upper() + "!!" for _ in range(8)) for _ in range(n)]
+    lines = [good(450) if i % 4 else good(410) + bad(410) for i in range(16)] + [bad(6), good(6)]
+    docs = spark.createDataFrame([(i, "\n".join(x), "en", "s", 0, "c", 1, "w") for i, x in enumerate(lines)], SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(16)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in quality.score_quality(docs, quality.fit(docs, labels)).collect()}
+    assert not got[16] and got[17]
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
