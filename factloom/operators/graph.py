@@ -2,22 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", "")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="factloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from ..store import written as _cut
 
 
 def _vertices(edges: DataFrame, vertices: DataFrame | None) -> DataFrame:
