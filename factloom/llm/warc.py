@@ -55,12 +55,16 @@ def local(path: str) -> str:
 
 
 def member(record: bytes) -> bytes:
-    """A gzip member with the extra field 'sl': compressed and uncompressed length, 4 bytes each."""
+    """A gzip member with the extra field 'sl': compressed and uncompressed length, 4 bytes each.
+
+    Lengths that don't fit are left at 0, and readers then go through the member.
+    """
     press = zlib.compressobj(1, zlib.DEFLATED, -15)
     body = press.compress(record) + press.flush()
     tail = struct.pack("<II", zlib.crc32(record), len(record) & 0xFFFFFFFF)
     total = 10 + 2 + 12 + len(body) + len(tail)
-    extra = b"sl" + struct.pack("<H", 8) + struct.pack("<II", total & 0xFFFFFFFF, len(record) & 0xFFFFFFFF)
+    sizes = (total, len(record)) if max(total, len(record)) < 1 << 32 else (0, 0)
+    extra = b"sl" + struct.pack("<H", 8) + struct.pack("<II", *sizes)
     return b"\x1f\x8b\x08\x04" + b"\0" * 4 + b"\0\xff" + struct.pack("<H", len(extra)) + extra + body + tail
 
 
@@ -151,49 +155,65 @@ def _plain(f, at: int, wanted, payloads: bool) -> Iterator[tuple[dict[str, str],
         at += begin + length + 4
 
 
+#: Files written here; others in the folder are foreign archives.
+_OWN = "factloom-"
+
+
+def _manifests(path: str) -> list[str]:
+    return sorted(x for x in os.listdir(path) if x.startswith("_manifest-")) if os.path.isdir(path) else []
+
+
+def _committed(path: str, manifests: list[str]) -> list[str]:
+    found = []
+    for name in manifests:
+        with open(os.path.join(path, name)) as f:
+            found += json.load(f)
+    return found
+
+
+def _archives(path: str) -> list[str]:
+    foreign = [os.path.join(d, x) for d, _, xs in os.walk(path) for x in xs if x.endswith((".warc", ".warc.gz")) and not x.startswith(_OWN)]
+    return sorted(foreign + [os.path.join(path, x) for x in _committed(path, _manifests(path))])
+
+
 class _Files(InputPartition):
     def __init__(self, paths: list[str]):
         self.paths = paths
 
 
 class _Wanted:
-    def __init__(self, tests: list[tuple[str, tuple[str, ...]]]):
+    """Tests on headers: one of some values, or, where these are None, presence."""
+
+    def __init__(self, tests: list[tuple[str, tuple[str, ...] | None]]):
         self.tests = tests
 
     def __call__(self, headers: dict[str, str]) -> bool:
-        return all(headers.get(name) in values for name, values in self.tests)
+        return all(name in headers if values is None else headers.get(name) in values for name, values in self.tests)
 
 
 class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path, self.payloads = local(options["path"]), str(options.get("payloads", "true")).lower() == "true"
         self.bytes = int(options.get("partitionbytes", FILE_BYTES))
-        self.tests: list[tuple[str, tuple[str, ...]]] = []
+        self.tests: list[tuple[str, tuple[str, ...] | None]] = []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        """Equality and membership on columns that are headers are decided before a payload is decoded."""
+        """Equality, membership and presence of headers are decided before a payload is decoded."""
         for f in filters:
             name = _NAMED.get(f.attribute[0]) if hasattr(f, "attribute") and len(f.attribute) == 1 else None
             if name and isinstance(f, (EqualTo, EqualNullSafe)) and f.value is not None:
                 self.tests.append((name, (f.value,)))
             elif name and isinstance(f, In):
-                self.tests.append((name, tuple(f.value)))
-            elif name and isinstance(f, IsNotNull) and name in ("warc-type", "warc-record-id"):
-                pass  # every record has these
+                # A missing header is never one of the values, not even where null is among them.
+                self.tests.append((name, tuple(x for x in f.value if x is not None)))
+            elif name and isinstance(f, IsNotNull):
+                self.tests.append((name, None))
             else:
                 yield f
 
     def partitions(self) -> list[InputPartition]:
-        """Files by size, small ones together; of a written folder only the files of its manifest."""
-        if os.path.isfile(self.path):
-            names = [self.path]
-        else:
-            manifest = os.path.join(self.path, "_manifest.json")
-            if os.path.exists(manifest):
-                with open(manifest) as f:
-                    names = [os.path.join(self.path, x) for x in json.load(f)]
-            else:
-                names = sorted(os.path.join(d, x) for d, _, xs in os.walk(self.path) for x in xs if x.endswith((".warc", ".warc.gz")))
+        """Files by size, small ones together; of files written here only those that a manifest names."""
+        names = [self.path] if os.path.isfile(self.path) else _archives(self.path)
         groups, size = [[]], 0
         for name in names:
             n = os.path.getsize(name)
@@ -233,12 +253,14 @@ class _Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     """Rows of (record_id, target_uri, record_type, refers_to, payload_digest, payload_bytes, payload).
 
-    Every attempt writes files of its own; the manifest, written last, names those of the attempts
-    that were committed, so lost and repeated tasks leave no record behind.
+    Every attempt writes files of its own; each commit adds a manifest that names those of the attempts
+    that were committed, so lost and repeated tasks leave no record behind, and appends, also concurrent
+    ones, keep what others wrote.  Overwriting drops every archive that was there before.
     """
 
-    def __init__(self, options):
+    def __init__(self, options, overwrite: bool = False):
         self.path, self.bytes = local(options["path"]), int(options.get("filebytes", FILE_BYTES))
+        self.overwrite = overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         os.makedirs(self.path, exist_ok=True)
@@ -250,7 +272,7 @@ class WarcWriter(DataSourceArrowWriter):
                 if f is None or size >= self.bytes:
                     if f:
                         f.close()
-                    names.append(f"{uuid.uuid4().hex}.warc.gz")
+                    names.append(f"{_OWN}{uuid.uuid4().hex}.warc.gz")
                     f, size = open(os.path.join(self.path, names[-1]), "wb"), 0
                 fields = [("WARC-Type", kind), ("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Record-ID", key), ("Content-Type", "text/html; charset=utf-8")]
                 fields += [("WARC-Target-URI", uri.replace("\r", "%0D").replace("\n", "%0A"))] if uri is not None else []
@@ -264,10 +286,14 @@ class WarcWriter(DataSourceArrowWriter):
 
     def commit(self, messages: list[WriterCommitMessage | None]) -> None:
         os.makedirs(self.path, exist_ok=True)
+        before, old = _manifests(self.path), _archives(self.path) if self.overwrite else []
         temporary = os.path.join(self.path, f"_{uuid.uuid4().hex}")
         with open(temporary, "w") as f:
             json.dump(sorted(x for m in messages if m for x in m.names), f)
-        os.replace(temporary, os.path.join(self.path, "_manifest.json"))
+        os.replace(temporary, os.path.join(self.path, f"_manifest-{uuid.uuid4().hex}.json"))
+        if self.overwrite:
+            for name in [os.path.join(self.path, x) for x in before] + old:
+                os.remove(name)
 
     def abort(self, messages: list[WriterCommitMessage | None]) -> None:
         for m in messages:
@@ -279,7 +305,10 @@ class WarcWriter(DataSourceArrowWriter):
 
 
 class Warc(DataSource):
-    """``spark.read.format("warc").option("payloads", "false").load(folder)``, and the same for writing."""
+    """``spark.read.format("warc").option("payloads", "false").load(folder)``, and the same for writing.
+
+    Spark keeps the filters it pushed with a loaded table: load again for a query without them.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -292,7 +321,7 @@ class Warc(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -331,19 +360,20 @@ def archive(pages: DataFrame, path: str, id_col: str = "page_id", uri_col: str =
 
 
 def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query op1: all pages archived, then read back; digests of responses are those of the payloads read."""
+    """Query op1: all pages archived, then read back; digests of responses are those of the payloads read.
+
+    The record type is pushed down to both scans: that of revisits decodes no payload.
+    """
     path = f"{work_dir(spark)}/warc"
     archive(table(spark, sf_dir, "pages"), path)
-    read = spark.read.format("warc").load(path)
     number = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit("")).cast("long")
-    revisit = F.col("record_type") == "revisit"
-    return read.select(
-        number("record_id").alias("page_id"),
-        F.when(revisit, F.col("payload_bytes")).otherwise(F.length("payload")).cast("long").alias("payload_bytes"),
-        F.when(revisit, F.col("payload_digest")).otherwise(F.sha1("payload")).alias("payload_digest"),
-        "record_type",
-        number("refers_to").alias("refers_to"),
-    )
+
+    def scan(kind: str, payloads: bool, size, digest) -> DataFrame:
+        read = spark.read.format("warc").option("payloads", str(payloads).lower()).load(path).where(F.col("record_type") == kind)
+        return read.select(number("record_id").alias("page_id"), size.cast("long").alias("payload_bytes"), digest.alias("payload_digest"), "record_type", number("refers_to").alias("refers_to"))
+
+    whole = scan("response", True, F.length("payload"), F.sha1("payload"))
+    return whole.union(scan("revisit", False, F.col("payload_bytes"), F.col("payload_digest")))
 
 
 SQL = r"""
