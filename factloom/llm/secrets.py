@@ -8,7 +8,7 @@ EXAMPLE_OWNERS or more hold is a copied example; any other is shared, and counte
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table, written
@@ -23,24 +23,41 @@ ASSIGN_LENGTH = 8
 EXAMPLE_OWNERS = 3
 KINDS = ("assign", "access", "hex", "owned")
 
+_BLOCK = 256
+#: Characters that are looked at together when texts are masked.
+_CHUNK = 4096
 _SPAN = "array<struct<start:bigint,rank:int,end:bigint,value:string>>"
 
 
 def _found(text: Column, pattern: str, rank: int, values: Column | None = None) -> Column:
-    """Spans of all matches, from the lengths of the matches and of the pieces between them."""
+    """Spans of all matches, from the lengths of the matches and of the pieces between them.
+
+    Arrays grow by copying, so matches are taken in blocks: first each block's length, then its spans.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pair = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("hit"), (matches if values is None else values).alias("value"))
     # The last piece has no match after it.
     pair = F.filter(pair, lambda x: x["hit"].isNotNull())
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(_SPAN).alias("spans"))
-
-    def add(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.char_length(x["gap"])
-        end = begin + F.char_length(x["hit"])
-        span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-
-    spans = F.aggregate(pair, start, add, lambda acc: acc["spans"])
+    pair = F.transform(pair, lambda x: F.struct(F.char_length(x["gap"]).cast("bigint").alias("gap"), F.char_length(x["hit"]).cast("bigint").alias("hit"), x["value"].alias("value")))
+
+    def spans_of(all_: Column) -> Column:
+        cuts = F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(_BLOCK))
+        blocks = F.transform(cuts, lambda i: F.slice(all_, i, _BLOCK))
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0).cast("bigint"), lambda n, x: n + x["gap"] + x["hit"]))
+        starts = F.aggregate(totals, F.array(F.lit(0).cast("bigint")), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+        return F.flatten(F.zip_with(blocks, F.slice(starts, F.lit(1), F.size(blocks)), block))
+
+    def block(some: Column, at: Column) -> Column:
+        def add(acc: Column, x: Column) -> Column:
+            begin = acc["at"] + x["gap"]
+            end = begin + x["hit"]
+            span = F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["value"].alias("value"))
+            return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+        return F.aggregate(some, F.struct(at.alias("at"), F.array().cast(_SPAN).alias("spans")), add, lambda acc: acc["spans"])
+
+    # A lambda over the one array, so that it is computed once.
+    spans = F.flatten(F.transform(F.array(pair), spans_of))
     return F.when(text.rlike(pattern), spans).otherwise(F.array().cast(_SPAN))
 
 
@@ -69,12 +86,17 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposi
         mixed.alias("mixed"),
         *[F.col(c).alias(f"_k_{c}") for c in keep_columns],
     )
-    found = found.withColumn("mixed", F.filter("mixed", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))))
     # Values are needed as hashes only; written once, so that the row numbers hold if a task is run again.
     hashed = lambda name: F.transform(name, lambda s: s.withField("value", F.md5(s["value"])))
     found = written(found.withColumns({"base": hashed("base"), "mixed": hashed("mixed"), "_row": F.monotonically_increasing_id()}), "found")
 
     values = found.select("_row", "_repository", "_owner", F.explode(F.concat("base", "mixed")).alias("s")).select("_row", "_repository", "_owner", "s.*")
+    # A candidate meets a base span if one that begins no later ends behind its start, or the next one begins before its end.
+    fixed = lambda c: F.when(F.col("rank") < 3, F.col(c))
+    upto = lambda *order: Window.partitionBy("_row").orderBy(*order).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumns({"_reach": F.max(fixed("end")).over(upto("start")), "_next": F.min(fixed("start")).over(upto(F.desc("start")))})
+    meets = F.coalesce(F.col("_reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_next") < F.col("end"), F.lit(False))
+    values = written(values.where((F.col("rank") < 3) | ~meets).drop("_reach", "_next"), "values")
     # Distinct step by step: each step is summed before its shuffle, so no value gathers its rows in one task.
     frequency = (
         values.groupBy("value", "_owner", "_repository").agg(F.count("*").alias("n"))
@@ -122,20 +144,29 @@ def secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def redacted(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """The same documents; every span of their texts, overlapping ones merged, is replaced by ``mask``.
 
-    ``n_chars``, where there is such a column, follows the text.
+    ``n_chars``, where there is such a column, follows the text.  Null and empty texts stay as they are,
+    repeated rows and rows with null ids each stay, and an empty table gives an empty one.  Columns need
+    no special names: they travel as ``_k_<name>``.
     """
     names = docs.columns
     found = scan(docs, keep_columns=tuple(names))
     text = F.col("_k_text")
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    chunks = F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % _CHUNK), F.lit(0))
+
+    def masked(chunk: Column, number: Column) -> Column:
+        base = number.cast("bigint") * _CHUNK
+        near = F.filter("spans", lambda s: (s["start"] < base + _CHUNK) & (s["end"] > base))
+        start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+
+        def step(acc: Column, s: Column) -> Column:
+            begin, end = s["start"] - base, F.least(s["end"] - base, F.lit(_CHUNK).cast("bigint"))
+            gap = F.substring(chunk, (acc["at"] + 1).cast("int"), (begin - acc["at"]).cast("int"))
+            # A span that began in an earlier chunk has its mask there.
+            return F.struct(F.greatest(acc["at"], end).alias("at"), F.when(begin >= acc["at"], F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        gap = F.substring(text, (acc["at"] + 1).cast("int"), (s["start"] - acc["at"]).cast("int"))
-        apart = s["start"] >= acc["at"]
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(apart, F.concat(acc["out"], gap, F.lit(mask))).otherwise(acc["out"]).alias("out"))
+        return F.aggregate(near, start, step, lambda acc: F.concat(acc["out"], F.substring(chunk, (acc["at"] + 1).cast("int"), F.lit(_CHUNK))))
 
-    rest = lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.lit(2**31 - 1)))
-    clean = F.when(F.size("spans") > 0, F.aggregate("spans", start, step, rest)).otherwise(text)
+    clean = F.when(F.size("spans") > 0, F.array_join(F.transform(chunks, masked), "")).otherwise(text)
     changed = {"text": clean}
     if "n_chars" in names:
         changed["n_chars"] = F.when(F.size("spans") > 0, F.char_length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_k_n_chars"))
@@ -160,7 +191,7 @@ span AS (
 used AS (
   SELECT * FROM span c WHERE rank < 3 OR NOT EXISTS (SELECT 1 FROM span b WHERE b.rank < 3 AND b.doc_id = c.doc_id AND b.s < c.e AND c.s < b.e)),
 freq AS (SELECT v, count(DISTINCT doc_id) AS repos, count(DISTINCT own) AS owners FROM used GROUP BY v),
-judged AS (SELECT u.*, owners >= 3 AS ex, owners = 1 AND repos <= 3 AS live, ['assign', 'access', 'hex', 'owned'][rank + 1] || ':' || s || ':' || e AS txt FROM used u JOIN freq USING (v)),
+judged AS (SELECT u.*, owners >= 3 AS ex, owners = 1 AS live, ['assign', 'access', 'hex', 'owned'][rank + 1] || ':' || s || ':' || e AS txt FROM used u JOIN freq USING (v)),
 per AS (
   SELECT doc_id, count(*) FILTER (rank = 0) AS a, count(*) FILTER (rank = 1) AS k, count(*) FILTER (rank = 2) AS h,
     string_agg(txt, ',' ORDER BY s, rank, e) FILTER (rank < 3) AS base, string_agg(txt, ',' ORDER BY s, rank, e) FILTER (rank < 3 OR live) AS spans,
