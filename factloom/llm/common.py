@@ -2,32 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: One word of a text: neither space nor 0x09-0x0D, in Java's and RE2's notation alike.
-WORD = r"[^\x20\x09-\x0D]+"
-
+from ..store import bucketed, work_dir, written
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; only where that is unset, below a local one."""
-    base = spark.conf.get("spark.checkpoint.dir", "")
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="factloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+__all__ = ["WORD", "bucketed", "column", "partitions", "table", "tag", "work_dir", "written"]
 
-
-def written(df: DataFrame, name: str = "t") -> DataFrame:
-    """The same rows read from a Parquet table in the shared folder: lineage ends here."""
-    spark = df.sparkSession
-    path = f"{work_dir(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: One word of a text: neither space nor 0x09-0x0D, in Java's and RE2's notation alike.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,8 +19,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tag(doc: str, text: str) -> Column:
-    """24 bits that tell rows with one id apart; equal rows share it, and all results with it."""
-    return F.xxhash64(F.col(doc), F.col(text)).bitwiseAND(0xFFFFFF)
+    """64 bits that tell rows with one id apart; equal rows share it, and all results with it."""
+    return F.xxhash64(F.col(doc), F.col(text))
 
 
 def partitions(spark: SparkSession) -> int:

@@ -58,15 +58,16 @@ def features(t: winnow.Texts) -> Features:
     letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
     keep = letters[w.end] > letters[w.start]
     start, end, doc = w.start[keep], w.end[keep], w.doc[keep]
-    rolling = winnow.Rolling(winnow.byte_values(folded), 0x9E6C63D0876A9A47)
     mask = np.uint64((1 << WORD_BITS) - 1)
-    out = [rolling.ranges(start, end) & mask]
+    out = [winnow.range_hashes(data, start, end) & mask]
+    view = winnow.loads(data)
     for i, (size, front) in enumerate(_AFFIXES):
         a = start if front else np.maximum(end - size, start)
         b = np.minimum(start + size, end) if front else end
-        out.append(winnow.mix(rolling.ranges(a, b) + np.uint64(i + 1)) & mask)
-    at = np.arange(len(data))
-    grams = (rolling.ranges(at, np.minimum(at + _GRAM, len(data))) & np.uint64((1 << GRAM_BITS) - 1)).astype(np.int64)
+        some = view[a] & ((np.uint64(1) << (np.uint64(8) * (b - a).astype(np.uint64))) - np.uint64(1))
+        out.append(winnow.mix(some * np.uint64(8) + np.uint64(i + 1)) & mask)
+    grams = view[:-1] & np.uint64((1 << 8 * _GRAM) - 1)
+    grams = (winnow.mix(grams) & np.uint64((1 << GRAM_BITS) - 1)).astype(np.int64)
     first = np.searchsorted(doc, np.arange(len(t.offsets)))
     return Features(first, np.stack(out, 1).astype(np.int64), grams, start, np.maximum(end - _GRAM + 1, start))
 

@@ -45,18 +45,18 @@ _PAD = np.uint32(0xFFFFFFFF)
 
 def shingles(t: winnow.Texts, size: int) -> list[np.ndarray]:
     """Per text the sorted distinct hashes of its shingles; fewer words count as one shingle."""
+    t = winnow.folded(t)
     w = winnow.words(t)
-    rolling = winnow.Rolling(winnow.word_hashes(t, w, fold=True), 0x9FB21C651E98DF25)
+    values = winnow.word_hashes(t, w)
     n = np.diff(w.first)
     out = []
-    at = np.arange(max(len(w.start) - size + 1, 0))
-    all_hashes = rolling.ranges(at, at + size)
+    all_hashes = winnow.sliding(values, size)
     for i, count in enumerate(n.tolist()):
         a = int(w.first[i])
         if count >= size:
             out.append(np.unique(all_hashes[a : a + count - size + 1]))
         elif count:
-            out.append(rolling.ranges(np.array([a]), np.array([a + count])))
+            out.append(winnow.sliding(values[a : a + count], count))
         else:
             out.append(all_hashes[:0])
     return out

@@ -76,8 +76,8 @@ def measure(t: winnow.Texts) -> tuple[dict[str, np.ndarray], Lines]:
     repeated = np.zeros(len(w.start), bool)
     if len(w.start) >= REPEAT_WINDOW:
         at = np.flatnonzero(w.doc[: len(w.doc) - REPEAT_WINDOW + 1] == w.doc[REPEAT_WINDOW - 1 :])
-        h = winnow.window_hashes(hashes, at, REPEAT_WINDOW)
-        key = winnow.mix(h + w.doc[at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        h = winnow.sliding(hashes, REPEAT_WINDOW)[at]
+        key = winnow.join(h, w.doc[at].astype(np.uint64))
         _, which, count = np.unique(key, return_inverse=True, return_counts=True)
         again = at[count[which] > 1]
         repeated = winnow.covered(len(w.start), again, again + REPEAT_WINDOW)
@@ -98,8 +98,7 @@ def measure(t: winnow.Texts) -> tuple[dict[str, np.ndarray], Lines]:
     keep = inside[end] > inside[start]
     start, end, doc = start[keep], end[keep], doc[keep]
     if len(start):
-        key = winnow.Rolling(winnow.byte_values(t), 0xA3B195354A39B70D).ranges(start, end)
-        key = winnow.mix(key + doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        key = winnow.join(winnow.range_hashes(t.data, start, end), doc.astype(np.uint64))
         _, once = np.unique(key, return_index=True)
         again = np.ones(len(start), bool)
         again[once] = False

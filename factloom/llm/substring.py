@@ -1,15 +1,17 @@
 """Substring deduplication over words with a log-structured fingerprint index.
 
-The index is a set of immutable runs, each a table bucketed and sorted by anchor, so that a new
-batch is merge-joined with history without moving history.  A run holds each distinct segment of its
-batch once (see ``winnow``: neighbouring windows with one anchor), with the first document that has
-it.  Segments that recur as a whole are settled by that; where an anchor has several segments, the
-windows themselves are read again from the texts of both sides and compared.  Runs are compacted.
+The index is a folder: immutable runs of window fingerprints, a log of texts, and manifests, of which
+the newest counts.  A run is bucketed and sorted by anchor, so a new batch is merge-joined with history
+without moving history.  It holds each distinct segment of its batch once (see ``winnow``: neighbouring
+windows with one anchor), with the first document that has it.  Candidates are verified on their words:
+a segment matches when the 128-bit digests of all its words agree, and where an anchor has several
+segments, their windows are read again from the log and compared by the digests of their words.  Runs
+of one level are compacted into one of the next.
 """
 
 from __future__ import annotations
 
-import uuid
+import json
 from typing import Iterator
 
 import numpy as np
@@ -18,91 +20,165 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import store
 from . import winnow
-from .common import column, partitions, table, tag, work_dir, written
+from .common import column, partitions, table, work_dir, written
 
 WINDOW = 50
 GRAM = 16
-BATCHES = 2
-#: More runs than this are merged into one.
-FANOUT = 3
+#: The query indexes its table in so many batches, enough for runs to be compacted on the way.
+BATCHES = 4
+#: More runs than this on a level are merged into one of the next level.
+FANOUT = 2
 _LAST = (1 << 63) - 1
+_RUN = "anchor bigint, content bigint, check bigint, doc bigint, row bigint, place bigint"
 
 
 class FingerprintIndex:
-    """Runs of (anchor, content, doc, place); doc is the smallest with the segment, place where it is."""
-
-    def __init__(self, spark: SparkSession, path: str, buckets: int):
-        self.spark, self.path, self.buckets, self.runs = spark, path, buckets, []
-
-    def _write(self, rows: DataFrame) -> str:
-        name = f"run_{uuid.uuid4().hex}"
-        writer = rows.write.bucketBy(self.buckets, "anchor").sortBy("anchor", "content")
-        writer.option("path", f"{self.path}/{name}").saveAsTable(name)
-        return name
-
-    def append(self, segments: DataFrame) -> DataFrame:
-        """A new run of the batch's distinct segments; summed before the shuffle."""
-        first = segments.groupBy("anchor", "content").agg(F.min(F.struct("doc", "place")).alias("first"))
-        # All rows of an anchor in one bucket, written by one task per bucket.
-        rows = first.select("anchor", "content", "first.doc", "first.place").repartition(self.buckets, "anchor")
-        name = self._write(rows)
-        self.runs.append(name)
-        return self.spark.table(name)
-
-    def history(self) -> list[DataFrame]:
-        return [self.spark.table(r) for r in self.runs]
-
-    def compact(self) -> None:
-        """Merge all runs into one when there are too many; the old ones are dropped afterwards."""
-        if len(self.runs) <= FANOUT:
-            return
-        parts = self.history()
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.union(p)
-        merged = rows.groupBy("anchor", "content").agg(F.min(F.struct("doc", "place")).alias("first"))
-        name = self._write(merged.select("anchor", "content", "first.doc", "first.place").repartition(self.buckets, "anchor"))
-        old, self.runs = self.runs, [name]
-        for r in old:
-            self.spark.sql(f"DROP TABLE IF EXISTS {r}")
-
-
-def _place(start: np.ndarray, tags: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """32 bits of start, 24 of the row's tag and 8 of the number of windows."""
-    return (start << 32) | (tags << 8) | count
-
-
-def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
+    """An index below ``path``, new or reopened.
+
+    ``append`` takes (id, text) rows, returns their results against all batches before and each other,
+    and adds them.  Ids of later batches should be larger: a document is compared with smaller ids only,
+    and results that were given are not taken back.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, window: int = WINDOW, gram: int = GRAM, buckets: int | None = None, id_type: str = "bigint"):
+        self.spark, self.path = spark, path
+        known = [x for x in store.names(spark, path) if x.startswith("manifest-")]
+        if known:
+            state = json.loads(store.get_text(spark, f"{path}/{known[-1]}"))
+            if (state["window"], state["gram"]) != (window, gram):
+                raise ValueError(f"the index has windows of {state['window']} and grams of {state['gram']} words")
+        else:
+            if window - gram + 1 > 255:
+                raise ValueError("a segment's windows must fit in 8 bits")
+            state = {"version": 0, "window": window, "gram": gram, "buckets": buckets or partitions(spark), "id_type": id_type, "made": 0, "runs": [], "texts": []}
+        self.state = state
+
+    def _named(self, kind: str) -> str:
+        # A number of its own even if an append failed half-way: what no manifest names is never read.
+        self.state["made"] += 1
+        return f"{kind}-{self.state['version']:06d}-{self.state['made']:06d}-{np.random.default_rng().integers(1 << 32):08x}"
+
+    def _commit(self) -> None:
+        self.state["version"] += 1
+        store.put_text(self.spark, f"{self.path}/manifest-{self.state['version']:06d}.json", json.dumps(self.state))
+
+    def _run(self, name: str) -> DataFrame:
+        return store.reopened(self.spark, f"{self.path}/{name}", _RUN, self.state["buckets"], ["anchor"])
+
+    def _texts(self, name: str) -> DataFrame:
+        return store.reopened(self.spark, f"{self.path}/{name}", f"_row bigint, _id {self.state['id_type']}, _doc bigint, _text string", self.state["buckets"], ["_row"])
+
+    def _write(self, rows: DataFrame, level: int) -> DataFrame:
+        """A run of distinct segments, summed before the shuffle; all rows of an anchor lie in one bucket."""
+        first = rows.groupBy("anchor", "content", "check").agg(F.min(F.struct("doc", "row", "place")).alias("first"))
+        name = self._named("run")
+        run = store.bucketed(first.select("anchor", "content", "check", "first.*"), f"{self.path}/{name}", self.state["buckets"], ["anchor"], ["anchor", "content"])
+        self.state["runs"].append([name, level])
+        return run
+
+    def compact(self) -> int:
+        """Merge the runs of each level that has too many; how many merges there were."""
+        merges, level = 0, 0
+        while any(at >= level for _, at in self.state["runs"]):
+            old = [name for name, at in self.state["runs"] if at == level]
+            if len(old) > FANOUT:
+                rows = self._run(old[0])
+                for name in old[1:]:
+                    rows = rows.union(self._run(name))
+                self._write(rows, level + 1)
+                self.state["runs"] = [r for r in self.state["runs"] if r[0] not in old]
+                self._commit()
+                for name in old:
+                    store.remove(self.spark, f"{self.path}/{name}")
+                merges += 1
+            level += 1
+        return merges
+
+    def append(self, docs: DataFrame) -> DataFrame:
+        """(_id, n_words, n_removed, kept) of the rows (_id, _doc, _text), which are then part of the index."""
+        window, gram, buckets = (self.state[k] for k in ("window", "gram", "buckets"))
+        number = len(self.state["texts"])
+        if number >= 1 << 24:
+            raise ValueError("too many batches")
+        runs = [self._run(name) for name, _ in self.state["runs"]]
+        logs = [self._texts(name) for name in self.state["texts"]]
+        name = self._named("texts")
+        # The number is made once, when the log is written, and is exact: no two rows share it.
+        rows = docs.select(F.monotonically_increasing_id().alias("_row"), "_id", "_doc", "_text")
+        log = store.bucketed(rows, f"{self.path}/{name}", buckets, ["_row"])
+        self.state["texts"].append(name)
+        segments = written(_segments(log, window, gram, number), "segments")
+        fresh = self._write(segments, 0)
+        verdict = written(_verdict(fresh, runs), "verdict")
+        # Segments that an earlier document has go whole; others with a shared anchor are opened.
+        judged = segments.join(verdict, ["anchor", "content", "check"])
+        judged = written(judged.where("first < doc OR open").select("anchor", "doc", "row", "place", "first"), "judged")
+        wanted = judged.where("first >= doc").select("anchor", "row", "place")
+        opened = verdict.where("open").select("anchor").distinct()
+        for run in runs:
+            wanted = wanted.union(run.join(opened, "anchor", "left_semi").select("anchor", "row", "place"))
+        wanted = written(wanted, "wanted")
+        windows = _windows(log, wanted, window, number)
+        for i, old in enumerate(logs):
+            windows = windows.union(_windows(old, wanted, window, i))
+        windows = written(windows, "windows")
+        key = ["anchor", "w1", "w2"]
+        least = windows.groupBy(*key).agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last")
+        single = windows.where(F.col("log") == number).join(least, key).where("first < doc").select("row", _place(F.col("start"), 1).alias("place"))
+        removed = judged.where("first < doc").select("row", "place").union(single)
+        self._commit()
+        self.compact()
+        return _finish(log, removed, window)
+
+
+def _place(start, count):
+    """32 bits of start, 24 of the log's number and 8 of the number of windows."""
+    return F.shiftleft(start.cast("long"), 32) + count
+
+
+def _segments(log: DataFrame, window: int, gram: int, number: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in winnow.pieces(batch, "_text"):
                 t = winnow.texts(column(part, "_text"))
                 w = winnow.words(t)
-                s = winnow.segments(winnow.word_hashes(t, w), w.doc, w.first, window, gram)
-                doc, tags = column(part, "_doc").to_numpy(), column(part, "_tag").to_numpy()
-                arrays = [s.anchor.view(np.int64), s.content.view(np.int64), doc[s.doc], _place(s.start, tags[s.doc], s.count)]
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["anchor", "content", "doc", "place"])
+                s = winnow.word_segments(winnow.word_hashes(t, w), w, window, gram)
+                line = winnow.spaced(t, w)
+                content, check = winnow.digests(line.raw, line.start[s.first], line.end[s.first + s.count + window - 2])
+                doc, row = column(part, "_doc").to_numpy(), column(part, "_row").to_numpy()
+                arrays = [s.anchor.view(np.int64), content, check, doc[s.doc], row[s.doc], (s.start << 32) | (number << 8) | s.count]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["anchor", "content", "check", "doc", "row", "place"])
 
-    return docs.select("_doc", "_tag", "_text").mapInArrow(run, "anchor long, content long, doc long, place long")
+    return log.select("_doc", "_row", "_text").mapInArrow(run, _RUN)
 
 
-def _tag_of(place: str = "place"):
-    return F.shiftrightunsigned(F.col(place), 8).bitwiseAND(0xFFFFFF)
+def _verdict(fresh: DataFrame, runs: list[DataFrame]) -> DataFrame:
+    """(anchor, content, check, first, open) of a batch's distinct segments; bucketed alike, so no run moves."""
+    name = F.struct("content", "check")
+    span = lambda r, lo, hi: r.groupBy("anchor").agg(F.min(name).alias(lo), F.max(name).alias(hi))
+    verdict = fresh.select("anchor", "content", "check", F.col("doc").alias("first")).join(span(fresh, "lo", "hi"), "anchor")
+    for run in runs:
+        seen = run.select("anchor", "content", "check", F.col("doc").alias("seen"))
+        verdict = verdict.join(seen, ["anchor", "content", "check"], "left").join(span(run, "lo2", "hi2"), "anchor", "left")
+        verdict = verdict.select("anchor", "content", "check", F.least("first", "seen").alias("first"), F.least("lo", "lo2").alias("lo"), F.greatest("hi", "hi2").alias("hi"))
+    return verdict.select("anchor", "content", "check", "first", (F.col("lo") < F.col("hi")).alias("open"))
 
 
-def _windows(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(anchor, hash, doc, tag, start) of every window of the wanted segments (anchor, doc, place)."""
-    lists = wanted.groupBy(F.col("doc").alias("w_doc"), _tag_of().alias("w_tag")).agg(F.collect_list("place").alias("places"), F.collect_list("anchor").alias("anchors"))
-    rows = docs.join(lists, (F.col("_doc") == F.col("w_doc")) & (F.col("_tag") == F.col("w_tag"))).select("_doc", "_tag", "_text", "places", "anchors")
+def _windows(log: DataFrame, wanted: DataFrame, window: int, number: int) -> DataFrame:
+    """(anchor, w1, w2, doc, row, log, start) of every window of the wanted segments (anchor, row, place) of one log."""
+    here = F.shiftrightunsigned("place", 8).bitwiseAND(0xFFFFFF) == number
+    lists = wanted.where(here).groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("place", "anchor")).alias("list"))
+    rows = log.join(lists, "_row").select("_doc", "_row", "_text", F.col("list.place").alias("places"), F.col("list.anchor").alias("anchors"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in winnow.pieces(batch, "_text"):
                 t = winnow.texts(column(part, "_text"))
                 w = winnow.words(t)
-                values = winnow.word_hashes(t, w)
-                doc, tags = column(part, "_doc").to_numpy(), column(part, "_tag").to_numpy()
+                line = winnow.spaced(t, w)
+                doc, row = column(part, "_doc").to_numpy(), column(part, "_row").to_numpy()
                 places, anchors = column(part, "places"), column(part, "anchors")
                 place, anchor = places.flatten().to_numpy(), anchors.flatten().to_numpy()
                 owner = np.repeat(np.arange(part.num_rows), np.diff(places.offsets.to_numpy()))
@@ -110,16 +186,18 @@ def _windows(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 begin = np.repeat(np.cumsum(count) - count, count)
                 start = np.repeat(place >> 32, count) + np.arange(len(begin)) - begin
                 owner, anchor = np.repeat(owner, count), np.repeat(anchor, count)
-                h = winnow.window_hashes(values, w.first[owner] + start, window).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (anchor, h, doc[owner], tags[owner], start)], ["anchor", "hash", "doc", "tag", "start"])
+                at = w.first[owner] + start
+                w1, w2 = winnow.digests(line.raw, line.start[at], line.end[at + window - 1])
+                arrays = [anchor, w1, w2, doc[owner], row[owner], np.full(len(at), number, np.int32), start]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["anchor", "w1", "w2", "doc", "row", "log", "start"])
 
-    return rows.mapInArrow(run, "anchor long, hash long, doc long, tag long, start long")
+    return rows.mapInArrow(run, "anchor long, w1 long, w2 long, doc long, row long, log int, start long")
 
 
-def _finish(docs: DataFrame, removed: DataFrame, window: int, id_type: T.DataType) -> DataFrame:
-    """removed: (doc, tag, place) of segments or windows whose words go."""
-    lists = removed.groupBy(F.col("doc").alias("w_doc"), F.col("tag").alias("w_tag")).agg(F.collect_list("place").alias("places"))
-    rows = docs.join(lists, (F.col("_doc") == F.col("w_doc")) & (F.col("_tag") == F.col("w_tag")), "left").select("_id", "_text", "places")
+def _finish(log: DataFrame, removed: DataFrame, window: int) -> DataFrame:
+    """removed: (row, place) of segments or windows whose words go."""
+    lists = removed.groupBy(F.col("row").alias("_row")).agg(F.collect_list("place").alias("places"))
+    rows = log.join(lists, "_row", "left").select("_id", "_text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,67 +226,35 @@ def _finish(docs: DataFrame, removed: DataFrame, window: int, id_type: T.DataTyp
                     ["_id", "n_words", "n_removed", "kept"],
                 )
 
-    schema = T.StructType([T.StructField("_id", id_type), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
+    schema = T.StructType([log.schema["_id"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept", T.StringType())])
     return rows.mapInArrow(run, schema)
 
 
-def _batch(index: FingerprintIndex, new: DataFrame, old: DataFrame | None, window: int, gram: int, id_type: T.DataType) -> DataFrame:
-    """Results of the documents of one batch against the index and each other; the batch is then indexed."""
-    runs = index.history()
-    segments = _segments(new, window, gram)
-    fresh = index.append(segments)
-    # Bucketed alike, so none of these joins moves a run.
-    span = lambda r: r.groupBy("anchor").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
-    verdict = fresh.select("anchor", "content", F.col("doc").alias("first")).join(span(fresh), "anchor")
-    for run in runs:
-        seen = run.select("anchor", "content", F.col("doc").alias("seen"))
-        past = span(run).select("anchor", F.col("lo").alias("lo2"), F.col("hi").alias("hi2"))
-        verdict = verdict.join(seen, ["anchor", "content"], "left").join(past, "anchor", "left")
-        verdict = verdict.select("anchor", "content", F.least("first", "seen").alias("first"), F.least("lo", "lo2").alias("lo"), F.greatest("hi", "hi2").alias("hi"))
-    verdict = written(verdict.select("anchor", "content", "first", (F.col("lo") < F.col("hi")).alias("open")), "verdict")
-    # Segments that recur from an earlier document go whole; first ones with a shared anchor are opened.
-    judged = segments.join(verdict, ["anchor", "content"])
-    judged = written(judged.where("first < doc OR open").select("anchor", "doc", "place", "first"), "judged")
-    whole = judged.where("first < doc").select("doc", _tag_of().alias("tag"), "place")
-    opened = verdict.where("open").select("anchor").distinct()
-    subjects = judged.where("first = doc").select("anchor", "doc", "place")
-    past = None
-    for run in runs:
-        rows = run.join(opened, "anchor", "left_semi").select("anchor", "doc", "place")
-        past = rows if past is None else past.union(rows)
-    texts = new if old is None else old.union(new)
-    wanted = subjects if past is None else subjects.union(past)
-    found = written(_windows(texts.select("_doc", "_tag", "_text"), wanted, window), "windows")
-    least = found.groupBy("anchor", "hash").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    single = found.join(least.select("anchor", "hash", "first"), ["anchor", "hash"]).where("first < doc").select("doc", "tag", (F.col("start") * (1 << 32) + 1).alias("place"))
-    return _finish(new, whole.union(single), window, id_type)
+def batch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows as ``FingerprintIndex.append`` takes them; a null id counts as larger than any."""
+    return docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("_doc"), F.col(text_col).alias("_text"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, batches: int = BATCHES, path: str | None = None) -> DataFrame:
     """(id, n_words, n_removed, kept): words that an earlier document's window covers are removed.
 
     Batches are ranges of ids in ascending order, so history always has the smaller ids.  Null and
     empty texts have no words.  Rows with one id are never compared with each other; a null id counts
-    as larger than any.  Repeated rows get equal results.
+    as larger than any.  Repeated rows get equal results; other columns are not read.
     """
-    if window > 255 + gram - 1:
-        raise ValueError("a segment's windows must fit in 8 bits")
     spark = docs.sparkSession
-    id_type = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias("_doc"), tag(id_col, text_col).alias("_tag"), F.col(text_col).alias("_text"))
+    rows = batch(docs, id_col, text_col)
     cuts = rows.approxQuantile("_doc", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     cuts = sorted({int(c) for c in cuts})
-    index = FingerprintIndex(spark, work_dir(spark), partitions(spark))
+    index = FingerprintIndex(spark, path or f"{work_dir(spark)}/index", window, gram, id_type=docs.schema[id_col].dataType.simpleString())
     out = None
-    for i, (lo, hi) in enumerate(zip([None, *cuts], [*cuts, None])):
+    for lo, hi in zip([None, *cuts], [*cuts, None]):
         inside = F.lit(True)
         if lo is not None:
             inside = inside & (F.col("_doc") > lo)
         if hi is not None:
             inside = inside & (F.col("_doc") <= hi)
-        old = rows.where(F.col("_doc") <= lo) if lo is not None else None
-        done = _batch(index, rows.where(inside), old, window, gram, id_type)
-        index.compact()
+        done = index.append(rows.where(inside))
         out = done if out is None else out.union(done)
     return out.withColumnRenamed("_id", id_col)
 

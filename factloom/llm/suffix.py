@@ -1,10 +1,11 @@
 """Suffix-array deduplication over bytes by bucket-pointer refinement.
 
 Positions are first put into buckets by a q-gram: that of their window's anchor (see ``winnow``), so
-equal windows share a bucket and a bucket is named by content, not by rank.  A bucket whose
-positions all lie in one distinct segment is settled by its count.  The rest is refined: positions
-are sorted by the bucket identifiers of q-grams at later offsets, and the new identifiers serve the
-next, twice as long step, until windows of full length are told apart on their bytes.
+equal windows share a bucket and a bucket is named by content, not by rank.  Segments that are equal in
+all their bytes (by 128-bit digests of these) count together, and a bucket with one distinct segment is
+settled by that.  The rest is refined: positions are sorted by the bucket identifiers of q-grams at
+later offsets, and the new identifiers serve the next, twice as long step, until windows of full length
+are told apart on their bytes.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import store
 from . import winnow
-from .common import column, partitions, table, tag, written
+from .common import column, partitions, table, work_dir, written
 
 WINDOW = 200
 GRAM = 48
@@ -30,17 +32,20 @@ def _doc_of(t: winnow.Texts) -> np.ndarray:
     return np.repeat(np.arange(len(t.offsets) - 1), np.diff(t.offsets))
 
 
-def _segments(docs: DataFrame, window: int, gram: int) -> DataFrame:
+def _segments(log: DataFrame, window: int, gram: int) -> DataFrame:
+    """(anchor, content, check, row, place); content and check are the digest of all bytes of the segment."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in winnow.pieces(batch, "_text"):
+            for part in winnow.pieces(batch, "_text", 1 << 18):
                 t = winnow.texts(column(part, "_text"))
-                s = winnow.segments(winnow.byte_values(t), _doc_of(t), t.offsets, window, gram)
-                doc, tags = column(part, "_doc").to_numpy(), column(part, "_tag").to_numpy()
-                place = (s.start << 32) | (tags[s.doc] << 8) | s.count
-                yield pa.RecordBatch.from_arrays([pa.array(a) for a in (s.anchor.view(np.int64), s.content.view(np.int64), doc[s.doc], place)], ["anchor", "content", "doc", "place"])
+                s = winnow.byte_segments(t, _doc_of(t), window, gram)
+                content, check = winnow.digests(t.data.tobytes(), s.first, s.first + s.count + window - 1)
+                row = column(part, "_row").to_numpy()
+                arrays = [s.anchor.view(np.int64), content, check, row[s.doc], (s.start << 8) | s.count]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["anchor", "content", "check", "row", "place"])
 
-    return docs.select("_doc", "_tag", "_text").mapInArrow(run, "anchor long, content long, doc long, place long")
+    return log.select("_row", "_text").mapInArrow(run, "anchor long, content long, check long, row long, place long")
 
 
 def refine(context: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -90,11 +95,10 @@ def _offsets(window: int, length: int) -> list[int]:
     return sorted(used)
 
 
-def _opened(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(anchor, doc, place, context, big) for the wanted segments (anchor, doc, place, big)."""
-    tags = F.shiftrightunsigned("place", 8).bitwiseAND(0xFFFFFF)
-    lists = wanted.groupBy(F.col("doc").alias("w_doc"), tags.alias("w_tag")).agg(F.collect_list(F.struct("anchor", "place", "big")).alias("list"))
-    rows = docs.join(lists, (F.col("_doc") == F.col("w_doc")) & (F.col("_tag") == F.col("w_tag"))).select("_doc", "_text", F.col("list.anchor").alias("anchors"), F.col("list.place").alias("places"), F.col("list.big").alias("bigs"))
+def _opened(log: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
+    """(anchor, row, place, n, context, big) for the wanted segments (anchor, row, place, n, big)."""
+    lists = wanted.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("anchor", "place", "n", "big")).alias("list"))
+    rows = log.join(lists, "_row").select("_row", "_text", F.col("list.anchor").alias("anchors"), F.col("list.place").alias("places"), F.col("list.n").alias("ns"), F.col("list.big").alias("bigs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,42 +107,47 @@ def _opened(docs: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                 places = column(part, "places")
                 place = places.flatten().to_numpy()
                 owner = np.repeat(np.arange(part.num_rows), np.diff(places.offsets.to_numpy()))
-                start = t.offsets[owner] + (place >> 32)
+                start = t.offsets[owner] + (place >> 8)
                 length = (place & 0xFF) + window - 1
                 ends = np.concatenate([[0], np.cumsum(length)])
-                data = t.data[np.repeat(start - ends[:-1], length) + np.arange(ends[-1])]
-                context = pa.Array.from_buffers(pa.binary(), len(place), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-                doc = column(part, "_doc").to_numpy()[owner]
-                yield pa.RecordBatch.from_arrays([column(part, "anchors").flatten(), pa.array(doc), pa.array(place), context, column(part, "bigs").flatten()], ["anchor", "doc", "place", "context", "big"])
+                # Contexts leave in groups whose bytes are bounded.
+                cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(1 << 23, ends[-1], 1 << 23)), [len(place)]]))
+                for lo, hi in zip(cuts.tolist(), cuts[1:].tolist()):
+                    offsets = ends[lo : hi + 1] - ends[lo]
+                    data = t.data[np.repeat(start[lo:hi] - offsets[:-1], length[lo:hi]) + np.arange(offsets[-1])]
+                    context = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
+                    flat = [column(part, c).flatten().slice(lo, hi - lo) for c in ("anchors", "ns", "bigs")]
+                    row = column(part, "_row").to_numpy()[owner[lo:hi]]
+                    yield pa.RecordBatch.from_arrays([flat[0], pa.array(row), pa.array(place[lo:hi]), flat[1], context, flat[2]], ["anchor", "row", "place", "n", "context", "big"])
 
-    return rows.mapInArrow(run, "anchor long, doc long, place long, context binary, big boolean")
+    return rows.mapInArrow(run, "anchor long, row long, place long, n long, context binary, big boolean")
 
 
-def _runs(place: np.ndarray, doc: np.ndarray, row: np.ndarray, start: np.ndarray, hit: np.ndarray) -> list[np.ndarray]:
-    """(doc, tag, first byte, last byte + 1 without the window) of maximal runs of repeated windows."""
+def _runs(place: np.ndarray, number: np.ndarray, row: np.ndarray, start: np.ndarray, hit: np.ndarray) -> list[np.ndarray]:
+    """(row, first byte, last byte + 1 without the window) of maximal runs of repeated windows."""
     row, start = row[hit], start[hit]
     if not len(row):
-        return [np.zeros(0, np.int64)] * 4
+        return [np.zeros(0, np.int64)] * 3
     new = np.concatenate([[True], (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)])
     a = np.flatnonzero(new)
     b = np.concatenate([a[1:], [len(row)]]) - 1
     p = place[row[a]]
-    return [doc[row[a]], (p >> 8) & 0xFFFFFF, (p >> 32) + start[a], (p >> 32) + start[b] + 1]
+    return [number[row[a]], (p >> 8) + start[a], (p >> 8) + start[b] + 1]
 
 
 def _refined(opened: DataFrame, window: int) -> DataFrame:
-    """(doc, tag, lo, hi): runs of window starts that repeat, from buckets of bounded size."""
-    rows = opened.where("not big").select("anchor", "doc", "place", "context")
+    """(row, lo, hi): runs of window starts that repeat, from buckets of bounded size."""
+    rows = opened.where("not big").select("anchor", "row", "place", "context")
     rows = rows.repartition(partitions(opened.sparkSession), "anchor").sortWithinPartitions("anchor")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _whole_buckets(batches):
             context = some.column("context").combine_chunks()
             row, start, hit = refine(context, window)
-            found = _runs(some.column("place").to_numpy(), some.column("doc").to_numpy(), row, start, hit)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["doc", "tag", "lo", "hi"])
+            found = _runs(some.column("place").to_numpy(), some.column("row").to_numpy(), row, start, hit)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["row", "lo", "hi"])
 
-    return rows.mapInArrow(run, "doc long, tag long, lo long, hi long")
+    return rows.mapInArrow(run, "row long, lo long, hi long")
 
 
 def _whole_buckets(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.Table]:
@@ -166,7 +175,10 @@ def _whole_buckets(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> It
 
 
 def _shuffled(opened: DataFrame, window: int) -> DataFrame:
-    """The same for buckets of any size: one row per window, counted with partial sums."""
+    """The same for buckets of any size: the last identifiers at once, named by the digest of the window's bytes.
+
+    They are counted with partial sums, so no bucket gathers in one task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,20 +189,20 @@ def _shuffled(opened: DataFrame, window: int) -> DataFrame:
                 count = np.diff(t.offsets) - window + 1
                 row = np.repeat(np.arange(len(count)), count)
                 start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
-                h = winnow.window_hashes(winnow.byte_values(t), t.offsets[row] + start, window).view(np.int64)
-                p = place[row]
-                arrays = [column(part, "anchor").to_numpy()[row], h, column(part, "doc").to_numpy()[row], (p >> 8) & 0xFFFFFF, (p >> 32) + start]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["anchor", "hash", "doc", "tag", "lo"])
+                at = t.offsets[row] + start
+                w1, w2 = winnow.digests(t.data.tobytes(), at, at + window)
+                arrays = [w1, w2, column(part, "row").to_numpy()[row], (place[row] >> 8) + start]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], ["w1", "w2", "row", "lo"])
 
-    rows = opened.where("big").select("anchor", "doc", "place", "context").mapInArrow(run, "anchor long, hash long, doc long, tag long, lo long")
-    # One place of every segment in a bucket is opened at least; a place counts once.
-    again = rows.groupBy("anchor", "hash").agg(F.count("*").alias("n")).where("n > 1").select("anchor", "hash")
-    return rows.join(again, ["anchor", "hash"], "left_semi").select("doc", "tag", "lo", (F.col("lo") + 1).alias("hi"))
+    rows = opened.where("big").select("row", "place", "context").mapInArrow(run, "w1 long, w2 long, row long, lo long")
+    # One place of every segment in a bucket is opened; a place counts once.
+    again = rows.groupBy("w1", "w2").agg(F.count("*").alias("n")).where("n > 1").select("w1", "w2")
+    return rows.join(again, ["w1", "w2"], "left_semi").select("row", "lo", (F.col("lo") + 1).alias("hi"))
 
 
-def _finish(docs: DataFrame, removed: DataFrame, window: int, id_type: T.DataType) -> DataFrame:
-    lists = removed.groupBy(F.col("doc").alias("w_doc"), F.col("tag").alias("w_tag")).agg(F.collect_list(F.struct("lo", "hi")).alias("list"))
-    rows = docs.join(lists, (F.col("_doc") == F.col("w_doc")) & (F.col("_tag") == F.col("w_tag")), "left").select("_id", "_text", F.coalesce("list.lo", F.array().cast("array<bigint>")).alias("los"), F.coalesce("list.hi", F.array().cast("array<bigint>")).alias("his"))
+def _finish(log: DataFrame, removed: DataFrame, window: int) -> DataFrame:
+    lists = removed.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("lo", "hi")).alias("list"))
+    rows = log.join(lists, "_row", "left").select("_id", "_text", F.coalesce("list.lo", F.array().cast("array<bigint>")).alias("los"), F.coalesce("list.hi", F.array().cast("array<bigint>")).alias("his"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,7 +224,7 @@ def _finish(docs: DataFrame, removed: DataFrame, window: int, id_type: T.DataTyp
                 body = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(kept.tobytes())])
                 yield pa.RecordBatch.from_arrays([column(part, "_id"), pa.array(b - a), pa.array(total[b] - total[a]), pa.array(spans[b] - spans[a]), body], ["_id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    schema = T.StructType([T.StructField("_id", id_type), *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([log.schema["_id"], *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType())])
     return rows.mapInArrow(run, schema)
 
 
@@ -220,22 +232,24 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     """(id, n_bytes, n_removed, n_spans, kept binary): bytes of strings that occur anywhere else too.
 
     Null and empty texts have no bytes.  Rows are places of their own, so a repeated row repeats all
-    its strings.  A null id is a document like others.
+    its strings.  A null id is a document like others; other columns are not read.
     """
-    if window - gram > 254:
-        raise ValueError("a segment's windows must fit in 8 bits")
-    id_type = docs.schema[id_col].dataType
-    rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("_doc"), tag(id_col, text_col).alias("_tag"), F.col(text_col).alias("_text"))
-    segments = _segments(rows, window, gram)
-    groups = segments.groupBy("anchor", "content").agg(F.count("*").alias("n"), F.min(F.struct("doc", "place")).alias("one"))
+    if window - gram > 254 or gram % 8:
+        raise ValueError("a segment's windows must fit in 8 bits, and a gram be a multiple of 8 bytes")
+    spark = docs.sparkSession
+    # Texts move once, into files by row number; what is found later is brought to them.
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    log = store.bucketed(rows, f"{work_dir(spark)}/log", partitions(spark), ["_row"])
+    segments = _segments(log, window, gram)
+    groups = segments.groupBy("content", "check").agg(F.count("*").alias("n"), F.first("anchor").alias("anchor"), F.min(F.struct("row", "place")).alias("one"))
     groups = written(groups, "groups")
     buckets = groups.groupBy("anchor").agg(F.count("*").alias("segments")).where("segments > 1")
-    opened = groups.join(buckets, "anchor").select("anchor", "one.doc", "one.place", (F.col("segments") > bucket_most).alias("big"))
-    whole = segments.join(groups.where("n > 1").select("anchor", "content"), ["anchor", "content"], "left_semi")
-    whole = whole.select("doc", F.shiftrightunsigned("place", 8).bitwiseAND(0xFFFFFF).alias("tag"), F.shiftright("place", 32).alias("lo"), (F.shiftright("place", 32) + F.col("place").bitwiseAND(0xFF)).alias("hi"))
-    opened = written(_opened(rows.select("_doc", "_tag", "_text"), opened, window), "opened")
+    opened = groups.join(buckets, "anchor").select("anchor", "one.row", "one.place", "n", (F.col("segments") > bucket_most).alias("big"))
+    whole = segments.drop("anchor").join(groups.where("n > 1").select("content", "check"), ["content", "check"], "left_semi")
+    whole = whole.select("row", F.shiftright("place", 8).alias("lo"), (F.shiftright("place", 8) + F.col("place").bitwiseAND(0xFF)).alias("hi"))
+    opened = written(_opened(log, opened, window), "opened")
     removed = whole.union(_refined(opened, window)).union(_shuffled(opened, window))
-    return _finish(rows, removed, window, id_type).withColumnRenamed("_id", id_col)
+    return _finish(log, removed, window).withColumnRenamed("_id", id_col)
 
 
 def suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
