@@ -8,7 +8,10 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from factloom.llm import minhash, substring, suffix, winnow
+from factloom.llm.common import work_dir
 
 from .conftest import WORD
 
@@ -34,19 +37,47 @@ def test_sliding_min(values, width):
     assert winnow.sliding_min(v, width).tolist() == expected
 
 
-def test_equal_windows_lie_in_segments_of_one_anchor():
+def test_equal_windows_lie_in_segments_of_one_anchor(monkeypatch):
     rng = np.random.default_rng(1)
-    values = rng.integers(0, 3, 400).astype(np.uint64)
-    s = winnow.segments(values, np.zeros(400, np.int64), np.array([0, 400]), 20, 5)
-    assert s.count.sum() == 381
-    anchor = np.repeat(s.anchor, s.count)
-    seen = {}
-    for i in range(381):
-        assert seen.setdefault(values[i : i + 20].tobytes(), anchor[i]) == anchor[i]
+    for step in (1 << 20, 64):
+        monkeypatch.setattr(winnow, "_STEP", step)
+        values = rng.integers(0, 3, 400).astype(np.uint64)
+        s = winnow.segments(lambda a, b: winnow.sliding(values[a : b + 4], 5), 400, np.zeros(400, np.int64), np.array([0, 400]), 20, 5)
+        assert s.count.sum() == 381
+        anchor = np.repeat(s.anchor, s.count)
+        seen = {}
+        for i in range(381):
+            assert seen.setdefault(values[i : i + 20].tobytes(), anchor[i]) == anchor[i]
 
 
-@pytest.mark.parametrize("batches", [1, 3])
-def test_substring(docs, rows, batches):
+def thue_morse(n):
+    """A word that polynomial hashes modulo a power of two can't tell from its complement."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@given(st.lists(st.integers(0, 3), max_size=80), st.integers(1, 20))
+@settings(deadline=None, max_examples=60)
+def test_hashes_stand_for_content(values, width):
+    v = np.array(values, np.uint64)
+    h = winnow.sliding(v, width)
+    assert len(h) == max(0, len(v) - width + 1)
+    same = {}
+    for i in range(len(h)):
+        assert same.setdefault(v[i : i + width].tobytes(), h[i]) == h[i]
+    assert len(set(same.values())) == len(same)
+
+
+def test_words_of_any_length_are_told_apart():
+    found = []
+    for n in (7, 8, 9, 64, 512, 513, 1024, 2048, 4096):
+        found += thue_morse(n)
+    t = winnow.texts(pa.array([" ".join(found + found)]))
+    h = winnow.word_hashes(t, winnow.words(t)).tolist()
+    assert h[: len(found)] == h[len(found) :] and len(set(h)) == len(found)
+
+
+def brute_substring(rows):
     firsts = {}
     parsed = [(LAST if r[0] is None else r[0], r[0], WORD.findall(r[1] or "")) for r in rows]
     for doc, _, words in parsed:
@@ -60,15 +91,45 @@ def test_substring(docs, rows, batches):
             if firsts[tuple(words[k : k + 50])] < doc:
                 gone.update(range(k, k + 50))
         expected.append((shown, len(words), len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)))
+    return expected
+
+
+@pytest.mark.parametrize("batches", [1, 4])
+def test_substring(docs, rows, batches):
+    expected = brute_substring(rows)
     got = substring.dedup(docs, batches=batches).collect()
     assert sorted(map(tuple, got), key=key) == sorted(expected, key=key)
     assert any(r[2] for r in expected)
 
 
-def test_substring_compaction(docs, monkeypatch):
-    monkeypatch.setattr(substring, "FANOUT", 1)
-    got = substring.dedup(docs, batches=4).collect()
-    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, substring.dedup(docs, batches=1).collect()), key=key)
+def test_index_is_reopened_compacted_and_leaves_no_tables(spark, docs, rows):
+    path = f"{work_dir(spark)}/index"
+    out = []
+    merges = []
+    for lo, hi in ((-1, 30), (30, 62), (62, 80), (80, 90), (90, (1 << 63) - 1)):
+        some = substring.batch(docs).where(F.col("_doc").between(lo + 1, hi))
+        # Each batch opens the folder anew, as a later job would.
+        index = substring.FingerprintIndex(spark, path)
+        before = len(index.state["runs"])
+        out += [tuple(r) for r in index.append(some).collect()]
+        merges.append(before + 1 - len(index.state["runs"]))
+    assert sorted(out, key=key) == sorted(brute_substring(rows), key=key)
+    assert max(merges) > 0
+    assert not [t for t in spark.catalog.listTables() if not t.isTemporary]
+    with pytest.raises(ValueError):
+        substring.FingerprintIndex(spark, path, window=40)
+
+
+def test_different_long_words_are_no_copies(spark):
+    rows = []
+    for n in (1024, 2048, 4096):
+        for x in thue_morse(n):
+            rows.append((len(rows), " ".join([x] + [f"w{k}" for k in range(49)])))
+    rows += [(len(rows) + i, x) for i, x in enumerate(thue_morse(1024))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_removed for r in substring.dedup(df).collect()] == [0] * 8
+    got = sorted(map(tuple, minhash.near_duplicates(df, shingle=2).drop("_tag").collect()))
+    assert got == sorted(brute_components(rows, 2))
 
 
 @pytest.mark.parametrize("most", [1, 4096])
