@@ -39,12 +39,18 @@ def main(argv: list[str] | None = None) -> int:
         p.add_argument(f"--{name}")
     a = p.parse_args(argv)
     settings, log = config(a.config), sinks.logger()
+    ask = P.completer(settings)
     spark = local_session()
     ship(spark)
     files, startup, includes, defines = A.read_project(spark, a.project)
     files = R.ignore_paths(files, "path", settings["ignore_dirs"])
     f = A.facts(files, startup, includes, defines)
     out = lambda name: os.path.join(a.output, name)
+    for row in A.progress(f).collect():
+        log.info("%d %s", row["n"], row["kind"])
+    lost = A.missing_includes(files, includes)
+    for row in lost.limit(20).collect():  # the first ones are shown, all are written
+        log.warning("%s includes %s, which is nowhere", row["file"], row["wanted"])
     if a.mode in ("analyze", "startup"):
         if startup is not None:
             for name, table in zip(("startup_vectors", "startup_exports", "startup_entry"), A.S.startup_facts(startup)):
@@ -55,6 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         sinks.json_lines(sinks.type_records(f.types, f.fields, f.enum_values, f.type_uses), out("struct_info"))
         sinks.json_lines(sinks.used_records(f.macros, f.macro_uses), out("macro_info"))
         sinks.json_lines(sinks.used_records(f.globals_, f.global_uses), out("global_var_info"))
+        sinks.json_lines(lost, out("missing_includes"))
         sinks.file_tree(files.select("path"), out("project_tree"))
         e = f.edges.where("callee_file IS NOT NULL").select(A.X.key("caller_file", "caller").alias("src"), A.X.key("callee_file", "callee").alias("dst"))
         sinks.call_tree(e, A.graph.roots(e, f.functions.select(A.X.key("file", "name").alias("v"))), out("call_tree"))
@@ -62,11 +69,11 @@ def main(argv: list[str] | None = None) -> int:
         sinks.json_lines(sinks.module_records(*A.module_tables(f)), out("module_structure"))
     if a.mode in DOCS:
         kind = DOCS[a.mode]
-        if kind == "function":
-            done = A.document_functions(f, files, P.OfflineStub(), settings["max_concurrency"])
+        if kind in ("function", "module"):
+            done = (A.document_functions if kind == "function" else A.document_modules)(f, files, ask, settings["max_concurrency"])
         else:
-            made = A.module_prompts(f, files) if kind == "module" else A.startup_prompt(f, files) if kind == "startup" else A.entity_prompts(f, files, kind)
-            done = P.document(made, None, P.OfflineStub(), settings["max_concurrency"])
+            made = A.startup_prompt(f, files) if kind == "startup" else A.entity_prompts(f, files, kind)
+            done = P.document(made, None, ask, settings["max_concurrency"])
         key = a.function or a.macro or a.struct or a.var or a.module
         done = done.where(F.col("entity_key") == key) if key else done
         done.write.mode("overwrite").parquet(out(f"docs_{kind}"))
@@ -76,7 +83,7 @@ def main(argv: list[str] | None = None) -> int:
         kind = TRAIN[a.mode]
         docs = spark.read.parquet(out(f"docs_{kind}"))
         made = P.train_prompts(docs, A.bodies(f, files).select(F.lit("function").alias("entity_kind"), A.X.key("file", "name").alias("entity_key"), "source"))
-        done = P.document(made, None, P.OfflineStub(), settings["max_concurrency"] + 2)
+        done = P.document(made, None, ask, settings["max_concurrency"] + 2)
         done.write.mode("overwrite").parquet(out(f"train_{kind}"))
         sinks.text_files(done.withColumn("p", F.concat("path", F.lit("_train.md"))), a.output, "p", "response")
     return 0

@@ -66,6 +66,18 @@ def dir_name(x: Column | str) -> Column:
     return F.when(F.instr(x, "/") > 0, F.regexp_replace(x, r"/[^/]*$", "")).otherwise(F.lit(""))
 
 
+def normal_path(x: Column | str) -> Column:
+    """A relative path without ``.`` and ``..`` where these can be resolved (H9)."""
+    parts = F.filter(F.split(_c(x), "/", -1), lambda p: (p != ".") & (p != ""))
+
+    def step(acc: Column, p: Column) -> Column:
+        back = (p == "..") & (F.size(acc) > 0) & (F.coalesce(F.element_at(acc, -1), F.lit("..")) != "..")
+        return F.when(back, F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(p)))
+
+    joined = F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/")
+    return F.when(F.startswith(_c(x), F.lit("/")), F.concat(F.lit("/"), joined)).otherwise(joined)
+
+
 def stem(x: Column | str) -> Column:
     return F.regexp_replace(base_name(x), r"(.)\.[^.]*$", "$1")
 

@@ -29,6 +29,8 @@ def levels(edges: DataFrame, vertices: DataFrame | None = None, deepest_first: b
         if front.isEmpty():
             break
         done = front if done is None else done.union(front)
+        if level % 32 == 31:  # so many branches at most, however deep the graph
+            done = _cut(done)
         less = front.join(edges, F.col("v") == F.col("src")).groupBy(F.col("dst").alias("v")).agg(F.count("*").alias("gone"))
         open_ = _cut(open_.where("d > 0").join(less, "v", "left").select("v", (F.col("d") - F.coalesce("gone", F.lit(0))).alias("d")))
         level += 1
@@ -50,6 +52,23 @@ def reachable(edges: DataFrame, start: DataFrame) -> DataFrame:
         if front.isEmpty():
             return seen
         seen = seen.union(front)
+        if depth % 32 == 0:
+            seen = _cut(seen)
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """Distinct (src, dst) pairs joined by a path of one edge or more; cycles are followed once.
+
+    Paths double in length each round, so their number is the logarithm of the longest path.
+    """
+    known = _cut(edges.select("src", "dst").distinct())
+    count = known.count()
+    while True:
+        longer = known.select("src", F.col("dst").alias("_m")).join(known.select(F.col("src").alias("_m"), "dst"), "_m").select("src", "dst")
+        known = _cut(known.union(longer).distinct())
+        before, count = count, known.count()
+        if count == before:
+            return known
 
 
 def components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
@@ -74,21 +93,24 @@ def roots(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     return _vertices(edges, vertices).join(edges.select(F.col("dst").alias("v")).distinct(), "v", "left_anti")
 
 
-def call_paths(edges: DataFrame, start: DataFrame, most_depth: int = 64) -> DataFrame:
+def call_paths(edges: DataFrame, start: DataFrame, most_depth: int | None = None) -> DataFrame:
     """Every path from the starts (I4): (path array, depth); a path ends before it would repeat a vertex.
 
-    The number of paths can grow exponentially with depth; that is the operator's result.
+    The number of paths can grow exponentially with depth; that is the operator's result, and only
+    ``most_depth`` cuts it.
     """
     edges = _cut(edges.select("src", "dst").distinct())
     front = _cut(start.select(F.array(F.col("v").cast("string")).alias("path"), F.col("v").alias("last")))
     out, depth = front, 0
-    while depth < most_depth:
+    while most_depth is None or depth < most_depth:
         depth += 1
         front = front.join(edges, F.col("last") == F.col("src")).where(~F.array_contains("path", F.col("dst").cast("string")))
         front = _cut(front.select(F.concat("path", F.array(F.col("dst").cast("string"))).alias("path"), F.col("dst").alias("last")))
         if front.isEmpty():
             break
         out = out.union(front)
+        if depth % 32 == 0:
+            out = _cut(out)
     return out.select("path", (F.size("path") - 1).alias("depth"))
 
 

@@ -59,30 +59,41 @@ def concatenated(df: DataFrame, keys: list[str], order: list[str], piece: Column
     return df.groupBy(*keys).agg(F.array_join(F.transform(listed, lambda x: x["_piece"]), separator).alias(out))
 
 
-def doc_comment_start(lines: list[str], start: int, compat: bool = False) -> int:
-    """First line of the comment directly above line ``start`` (H3, W4); ``start`` itself without one.
+def comment_lines(text: Column) -> Column:
+    """For each line of a text: does it hold a comment and nothing else?"""
+    bare = F.split(strip_block_comments(text), "\n", -1)
+    only = lambda line, left: (F.trim(line) != "") & ((F.trim(left) == "") | F.startswith(F.trim(left), F.lit("//")))
+    return F.zip_with(F.split(text, "\n", -1), bare, only)
 
-    ``compat`` keeps a known flaw: after a one-line block comment the scan goes on as if inside a block.
+
+def doc_comment_start(comments: Column, start: Column, lines: Column | None = None) -> Column:
+    """First line of the comments directly above line ``start`` (H3, W4), or ``start`` itself; see ``comment_lines``.
+
+    With ``lines`` a known flaw is kept: from a block comment of one line among these the search goes on up
+    to the next line that opens a block comment, or to the start of the text.
+    """
+    numbered = lambda flags: F.filter(F.transform(flags, lambda c, i: F.when(c, i + 1)), lambda i: i.isNotNull())
+    last = lambda flags, before: F.coalesce(F.array_max(F.filter(numbered(flags), lambda i: i < before)), F.lit(0))
+    first = F.least(last(F.transform(comments, lambda c: ~c), start) + 1, start)
+    if lines is None:
+        return first
+    opens = F.transform(lines, lambda x: F.startswith(F.trim(x), F.lit("/*")))
+    closed = F.transform(lines, lambda x: F.startswith(F.trim(x), F.lit("/*")) & F.endswith(F.trim(x), F.lit("*/")))
+    one = last(closed, start)
+    return F.when((one >= first) & (one < start), F.greatest(last(opens, one), F.lit(1))).otherwise(first)
+
+
+def documented_slices(ranges: DataFrame, files: DataFrame, file: str, text: str, start: str, end: str, out: str = "body") -> DataFrame:
+    """Each range's lines with the doc comment above, clipped to the text and trimmed.
+
+    A range of a missing file gets a comment that says so (S14).
     """
-    at, inside = start - 1, False
-    best = start
-    while at >= 1:
-        text = lines[at - 1].strip()
-        if inside:
-            best = at
-            if text.startswith("/*"):
-                inside = False
-                if not compat:
-                    return best if at == 1 or not lines[at - 2].strip().startswith(("//", "/*")) and not lines[at - 2].strip().endswith("*/") else doc_comment_start(lines, at)
-        elif text.endswith("*/"):
-            best = at
-            inside = compat or not text.startswith("/*")
-        elif text.startswith("//"):
-            best = at
-        else:
-            break
-        at -= 1
-    return best
+    held = files.select(file, F.split(text, "\n", -1).alias("_l"), comment_lines(F.col(text)).alias("_c"))
+    first = F.greatest(doc_comment_start(F.col("_c"), F.col(start)), F.lit(1))
+    body = F.array_join(F.slice("_l", first, F.greatest(F.col(end) - first + 1, F.lit(0))), "\n")
+    missing = F.concat(F.lit("// no source for "), F.coalesce(file, F.lit("an unknown file")), F.lit(":"), F.coalesce(F.col(start).cast("string"), F.lit("?")))
+    rows = ranges.join(held, file, "left")
+    return rows.withColumn(out, F.coalesce(F.regexp_replace(body, r"^\s+|\s+$", ""), missing)).drop("_l", "_c")
 
 
 def strip_block_comments(text: Column) -> Column:

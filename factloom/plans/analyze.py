@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import graph, modules, relational as R
+from ..operators import graph, lines as L, modules, relational as R
 from ..sources import cparse, files as S
 from . import prompts as P
 
@@ -33,11 +33,48 @@ class Facts(NamedTuple):
 
 BUILTIN_PREFIXES = ("__STDC", "__GNUC", "__GNU", "__clang", "__INT", "__UINT", "__FLT", "__DBL", "__LDBL", "__SIZEOF", "__ATOMIC", "__CHAR", "__BYTE_ORDER", "__ORDER", "__OPTIMIZE", "__VERSION", "__ELF", "__x86", "__amd64", "__ARM", "__arm", "__SSE", "__MMX", "__USER_LABEL", "__REGISTER", "__PTRDIFF", "__WCHAR", "__WINT", "__SIG_ATOMIC", "__BIGGEST", "__OBJC", "__DATE__", "__TIME__", "__FILE__", "__LINE__")
 BUILTIN_NAMES = ("linux", "unix", "i386")
+#: Headers of the language's own library.
+LIBRARY_HEADERS = tuple(f"{x}.h" for x in "assert complex ctype errno fenv float inttypes iso646 limits locale math setjmp signal stdalign stdarg stdatomic stdbool stddef stdint stdio stdlib stdnoreturn string tgmath threads time uchar wchar wctype".split())
+
+
+def include_targets(files: DataFrame, includes_at: DataFrame | None = None) -> DataFrame:
+    """(file, wanted, found): every include's header, null for those that no folder has.
+
+    The including file's folder comes first, then the project's in their order.
+    """
+    wanted = files.select(F.col("path").alias("file"), F.explode(X.all_matches("text", X.INCLUDE_NAMES)).alias("wanted")).distinct()
+    base = F.when(F.instr("file", "/") > 0, F.concat(X.dir_name("file"), F.lit("/"))).otherwise(F.lit(""))
+    tries = wanted.select("file", "wanted", F.lit(0).alias("rank"), F.concat(base, "wanted").alias("at"))
+    if includes_at is not None:
+        # Each include tries every directory of its project, which people listed by hand.
+        dirs = includes_at.agg(F.collect_list(F.struct("ord", "dir")).alias("dirs"))
+        more = wanted.join(dirs).select("file", "wanted", F.explode("dirs").alias("d"))
+        tries = tries.union(more.select("file", "wanted", F.col("d.ord") + 1, F.concat("d.dir", F.lit("/"), "wanted")))
+    tries = tries.withColumn("at", X.normal_path("at"))
+    hits = tries.join(files.select(F.col("path").alias("at")), "at")
+    return R.ranked_probe(wanted, hits.withColumnRenamed("at", "found"), ["file", "wanted"], "rank", "found")
+
+
+def missing_includes(files: DataFrame, includes_at: DataFrame | None = None) -> DataFrame:
+    """(file, wanted) of includes that no file answers, the C library's headers aside."""
+    lost = include_targets(files, includes_at).where("found IS NULL")
+    return lost.where(~F.col("wanted").isin(*LIBRARY_HEADERS)).select("file", "wanted")
+
+
+def progress(f: Facts) -> DataFrame:
+    """(kind, n): how many entities each stage will meet."""
+    counted = {"functions": f.functions, "macros": f.macros, "types": f.types, "globals": f.globals_, "files": f.files, "calls": f.edges}
+    out = None
+    for kind, table in counted.items():
+        one = table.agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "n")
+        out = one if out is None else out.union(one)
+    return out
 
 
 def facts(files: DataFrame, startup: DataFrame | None = None, includes_at: DataFrame | None = None, defines: Mapping[str, str] = {}) -> Facts:
     """All fact tables of files (path, text, size); the parse is read many times, so it is stored once."""
-    raw = graph._cut(cparse.facts(files, defines=defines))
+    at = graph._cut(include_targets(files, includes_at))
+    raw = graph._cut(cparse.facts(files, defines=defines, includes=at))
     of = lambda kind: raw.where(F.col("kind") == kind)
     functions = of("function").select("file", "name", F.col("file").alias("defined_in"), "start_line", "end_line").dropDuplicates(["file", "name", "start_line"])
     calls = of("call").select("file", F.col("owner").alias("caller"), F.col("name").alias("callee"), "ord")
@@ -59,16 +96,8 @@ def facts(files: DataFrame, startup: DataFrame | None = None, includes_at: DataF
     edges = resolved.select(F.split_part("_c", F.lit(":"), F.lit(1)).alias("caller_file"), F.split_part("_c", F.lit(":"), F.lit(2)).alias("caller"), "target_file", "callee")
     edges = edges.withColumnRenamed("target_file", "callee_file").distinct()
     names = files.select(F.col("path").alias("file"), "size")
-    wanted = of("include").select("file", F.col("name").alias("wanted"), (F.col("extra") == "quoted").alias("quoted"))
-    base = F.when(F.instr("file", "/") > 0, F.concat(X.dir_name("file"), F.lit("/"))).otherwise(F.lit(""))
-    tries = wanted.select("file", "wanted", F.lit(0).alias("rank"), F.concat(base, "wanted").alias("at"))
-    if includes_at is not None:
-        # Each include tries every directory of its project, which people listed by hand.
-        dirs = includes_at.agg(F.collect_list(F.struct("ord", "dir")).alias("dirs"))
-        more = wanted.join(dirs).select("file", "wanted", F.explode("dirs").alias("d"))
-        tries = tries.union(more.select("file", "wanted", F.col("d.ord") + 1, F.concat("d.dir", F.lit("/"), "wanted")))
-    hits = tries.join(names.select(F.col("file").alias("at")), "at").groupBy("file", "wanted").agg(F.min_by("at", "rank").alias("found"))
-    includes = wanted.join(hits, ["file", "wanted"], "left").select("file", F.coalesce("found", "wanted").alias("included")).distinct()
+    wanted = of("include").select("file", F.col("name").alias("wanted"))
+    includes = wanted.join(at, ["file", "wanted"], "left").select("file", F.coalesce("found", "wanted").alias("included")).distinct()
     types = of("type").select(F.col("value").alias("kind"), "name", F.col("file").alias("defined_in"), "start_line", "end_line").dropDuplicates(["kind", "name", "defined_in", "start_line"])
     split = lambda i: F.split_part("extra", F.lit("|"), F.lit(i))
     fields = of("field").select(F.col("owner").alias("type_name"), split(1).alias("parent_path"), F.col("end_line").alias("ordinal"), "name", F.col("value").alias("type_text"), F.nullif(split(2), F.lit("")).alias("nested_kind"), F.col("file").alias("defined_in"))
@@ -78,8 +107,8 @@ def facts(files: DataFrame, startup: DataFrame | None = None, includes_at: DataF
     tagged = of("type_use").select("name", F.col("file").alias("use_file"), F.col("owner").alias("use_function"))
     known = types.select("name").union(typedefs.select("alias")).distinct()
     type_uses = R.fold_aliases(tagged.union(uses.join(known, "name", "left_semi")), typedefs, types, "name", "alias", "target")
-    every = of("global").select("name", F.col("value").alias("type_text"), F.col("file").alias("defined_in"), (F.col("extra") == "definition").alias("is_definition"), "ord")
-    globals_ = R.last_wins(R.definitions_only(every), ["name", "defined_in"], ["ord"], ["type_text", "is_definition"]).select("name", "type_text", "defined_in", "is_definition")
+    every = of("global").select("name", F.col("value").alias("type_text"), F.col("file").alias("defined_in"), (F.col("extra") == "definition").alias("is_definition"), "ord", F.col("start_line").alias("line"), "end_line")
+    globals_ = R.last_wins(R.definitions_only(every), ["name", "defined_in"], ["ord"], ["type_text", "is_definition", "line", "end_line"]).select("name", "type_text", "defined_in", "is_definition", "line", "end_line")
     semi = lambda t: uses.join(t.select("name").distinct(), "name", "left_semi").distinct()
     # Everything below reads these many times, so they are tables.
     functions, edges, includes, type_uses, macros, globals_ = map(graph._cut, (functions, edges, includes, type_uses, macros, globals_))
@@ -99,10 +128,10 @@ def function_levels(f: Facts) -> DataFrame:
 
 
 def bodies(f: Facts, files: DataFrame) -> DataFrame:
-    """(file, name, source) of functions."""
+    """(file, name, source) of functions with the comments above them."""
     where = f.functions.where("start_line > 0").select("file", "name", "start_line", "end_line")
     lines = files.select(F.col("path").alias("file"), "text")
-    return where.join(lines, "file").select("file", "name", F.array_join(F.slice(F.split("text", "\n", -1), F.col("start_line"), F.col("end_line") - F.col("start_line") + 1), "\n").alias("source"))
+    return L.documented_slices(where, lines, "file", "text", "start_line", "end_line", "source").select("file", "name", "source")
 
 
 def function_prompts(f: Facts, files: DataFrame, docs: DataFrame | None = None) -> DataFrame:
@@ -114,9 +143,7 @@ def function_prompts(f: Facts, files: DataFrame, docs: DataFrame | None = None)
     rows = source.join(callees, "key", "left").join(callers, "key", "left")
     known = F.lit(None).cast("string").alias("known")
     if docs is not None:
-        told = edges.join(docs.select(F.col("entity_key").alias("dst"), X.section("response", "### Function", "\n##").alias("d")), "dst")
-        told = told.groupBy(F.col("src").alias("key")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("dst", "d"))), lambda x: F.concat(x["dst"], F.lit(": "), x["d"])), "\n").alias("known"))
-        rows = rows.join(told, "key", "left")
+        rows = rows.join(told(edges.withColumnRenamed("src", "key"), docs, "key", "dst", "### Function", "\n##"), "key", "left")
         known = F.col("known")
     path = F.concat(F.lit("functions/"), "file", F.lit("/"), "name")
     return P.render(rows, "function", "doc", F.col("key"), path, name=F.col("name"), source=F.col("source"), callees=F.col("callees"), callee_docs=known, callers=F.col("callers"))
@@ -124,15 +151,7 @@ def function_prompts(f: Facts, files: DataFrame, docs: DataFrame | None = None)
 
 def document_functions(f: Facts, files: DataFrame, completer: P.Completer, workers: int | None = None) -> DataFrame:
     """Level by level (I11): callees are documented before their callers."""
-    levels = graph._cut(function_levels(f))
-    last = levels.agg(F.max("level")).first()[0]
-    done = None
-    for n in range(0 if last is None else last + 1):
-        keys = levels.where(F.col("level") == n).select(F.col("v").alias("entity_key"))
-        made = function_prompts(f, files, done).join(keys, "entity_key", "left_semi")
-        made = graph._cut(P.document(made, None, completer, workers))
-        done = made if done is None else done.unionByName(made)
-    return done
+    return _by_level(graph._cut(function_levels(f)), lambda done: function_prompts(f, files, done), completer, workers)
 
 
 def user_samples(uses: DataFrame, source: DataFrame, k: int = 10) -> DataFrame:
@@ -142,22 +161,29 @@ def user_samples(uses: DataFrame, source: DataFrame, k: int = 10) -> DataFrame:
     return rows.groupBy("name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_use", "source"))), lambda x: F.concat(x["_use"], F.lit("\n"), x["source"])), "\n\n").alias("examples"), F.array_sort(F.collect_set("_use")).alias("users"))
 
 
+def in_functions(uses: DataFrame) -> DataFrame:
+    """Uses whose place is a function, not the file's outermost scope."""
+    return uses.where(F.col("use_function") != "global")
+
+
 def entity_prompts(f: Facts, files: DataFrame, kind: str) -> DataFrame:
-    """Prompts of types, globals or macros."""
+    """Prompts of types, globals or macros (U4, U6, U7); uses at file scope name no function, so they are left out."""
     source = bodies(f, files)
-    lines = files.select(F.col("path").alias("defined_in"), "text")
-    cut = lambda a, b: F.array_join(F.slice(F.split("text", "\n", -1), a, b - a + 1), "\n")
+    held = files.select(F.col("path").alias("defined_in"), "text")
+    cut = lambda rows, a, b, out: L.documented_slices(rows, held, "defined_in", "text", a, b, out)
     if kind == "struct":
         uses = R.typed_uses(f.type_uses, f.globals_, f.global_uses, "name", "type_text", ["use_file", "use_function"])
-        rows = f.types.join(lines, "defined_in", "left").withColumn("definition", cut(F.col("start_line"), F.col("end_line"))).withColumn("facts", F.to_json(F.struct("kind", "name", "start_line", "end_line")))
+        rows = cut(f.types, "start_line", "end_line", "definition").withColumn("facts", F.to_json(F.struct("kind", "name", "start_line", "end_line")))
     elif kind == "global_var":
         uses = f.global_uses
-        rows = f.globals_.withColumn("definition", F.lit(None).cast("string")).withColumn("facts", F.to_json(F.struct("name", "type_text", "defined_in")))
+        rows = cut(f.globals_, "line", "end_line", "definition").withColumn("facts", F.to_json(F.struct("name", "type_text", "defined_in")))
     elif kind == "macro":
         uses = f.macro_uses
-        rows = f.macros.join(lines, "defined_in", "left").withColumn("context", cut(F.greatest(F.col("line") - 20, F.lit(1)), F.col("line") + 100)).withColumn("definition", X.macro_text("name", "params", "content")).withColumn("facts", F.lit(""))
+        around = f.macros.join(held, "defined_in", "left").withColumn("context", L.slice_lines(F.col("text"), F.col("line") - 20, F.col("line") + 100)).drop("text")
+        rows = around.withColumn("definition", X.macro_text("name", "params", "content")).withColumn("facts", F.lit(""))
     else:
         raise ValueError(kind)
+    uses = in_functions(uses)
     rows = rows.join(user_samples(uses, source, 5 if kind == "macro" else 10), "name", "left")
     path = F.concat(F.lit(f"{kind}s/"), X.stem("defined_in"), F.lit("/"), X.file_safe("name"))
     values = {"name": F.col("name"), "file": F.col("defined_in"), "definition": F.col("definition"), "facts": F.col("facts"), "users": X.bullets(F.coalesce("users", F.array().cast("array<string>"))), "examples": F.col("examples")}
@@ -166,14 +192,47 @@ def entity_prompts(f: Facts, files: DataFrame, kind: str) -> DataFrame:
     return P.render(rows, kind, "doc", X.key("defined_in", "name"), path, **values)
 
 
-def module_prompts(f: Facts, files: DataFrame) -> DataFrame:
-    """Prompts of modules with all their sources."""
+def module_prompts(f: Facts, files: DataFrame, docs: DataFrame | None = None) -> DataFrame:
+    """Prompts of modules with all their sources and what is known of the modules they depend on."""
     members, deps = module_tables(f)
+    return _module_prompts(members, deps, files, docs)
+
+
+def _module_prompts(members: DataFrame, deps: DataFrame, files: DataFrame, docs: DataFrame | None) -> DataFrame:
     body = members.join(files.select(F.col("path").alias("file"), "text"), "file", "left").where("text IS NULL OR text <> ''")
     piece = F.concat(F.lit("// "), "file", F.lit("\n"), F.coalesce("text", F.lit("(not found)")))
-    rows = body.groupBy("module").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", piece.alias("p")))), lambda x: x["p"]), "\n\n").alias("source"), F.to_json(F.array_sort(F.collect_list("file"))).alias("facts"))
+    rows = L.concatenated(body, ["module"], ["ord"], piece, "\n\n", "source").join(body.groupBy("module").agg(F.to_json(F.array_sort(F.collect_list("file"))).alias("facts")), "module")
     rows = R.with_uses(rows, deps, "module", "dependency", "dependencies")
-    return P.render(rows, "module", "doc", F.col("module"), F.concat(F.lit("modules/"), "module"), name=F.col("module"), facts=F.col("facts"), dependencies=X.bullets("dependencies"), source=F.col("source"))
+    known = F.lit(None).cast("string")
+    if docs is not None:
+        rows = rows.join(told(deps, docs, "module", "dependency"), "module", "left")
+        known = F.col("known")
+    return P.render(rows, "module", "doc", F.col("module"), F.concat(F.lit("modules/"), "module"), name=F.col("module"), facts=F.col("facts"), dependencies=X.bullets("dependencies"), dependency_docs=known, source=F.col("source"))
+
+
+def told(edges: DataFrame, docs: DataFrame, src: str, dst: str, heading: str = "### Duties", stop: str = "\n### ") -> DataFrame:
+    """(src, known): a section of the documents of all that a vertex points at, in order."""
+    found = docs.select(F.col("entity_key").alias(dst), X.section("response", heading, stop).alias("_d"))
+    piece = F.concat(F.col(dst), F.lit(": "), F.col("_d"))
+    return L.concatenated(edges.select(src, dst).distinct().join(found, dst), [src], [dst], piece, "\n", "known")
+
+
+def document_modules(f: Facts, files: DataFrame, completer: P.Completer, workers: int | None = None) -> DataFrame:
+    """Level by level (I2, I11): modules are documented after those they depend on."""
+    members, deps = (graph._cut(x) for x in module_tables(f))
+    levels = graph._cut(graph.levels(deps.select(F.col("module").alias("src"), F.col("dependency").alias("dst")), members.select(F.col("module").alias("v"))))
+    return _by_level(levels, lambda done: _module_prompts(members, deps, files, done), completer, workers)
+
+
+def _by_level(levels: DataFrame, prompts, completer: P.Completer, workers: int | None) -> DataFrame:
+    last = levels.agg(F.max("level")).first()[0]
+    done = None
+    for n in range(0 if last is None else last + 1):
+        keys = levels.where(F.col("level") == n).select(F.col("v").alias("entity_key"))
+        made = prompts(done).join(keys, "entity_key", "left_semi")
+        made = graph._cut(P.document(made, None, completer, workers))
+        done = made if done is None else done.unionByName(made)
+    return done
 
 
 def startup_prompt(f: Facts, files: DataFrame) -> DataFrame:

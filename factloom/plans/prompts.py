@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import logging
+import time
+import urllib.error
+import urllib.request
 from collections.abc import Iterator
 from typing import Protocol
 
@@ -18,7 +23,7 @@ TEMPLATES = {
     ("macro", "doc"): "Describe the C macro below, defined in {file}.\n\n{definition}\n\nSurroundings:\n{context}\n\nUsed by:\n{users}\n\nExamples:\n{examples}\n",
     ("struct", "doc"): "Describe the C type {name}, defined in {file}.\n\n{definition}\n\nFacts: {facts}\n\nUsed by:\n{users}\n\nUsers' sources:\n{examples}\n",
     ("global_var", "doc"): "Describe the C variable {name}, defined in {file}.\n\nFacts: {facts}\n\nUsed by:\n{users}\n\nUsers' sources:\n{examples}\n",
-    ("module", "doc"): "Describe the module {name}.\n\nFacts: {facts}\n\nIt depends on:\n{dependencies}\n\nSources:\n{source}\n",
+    ("module", "doc"): "Describe the module {name}.\n\nFacts: {facts}\n\nIt depends on:\n{dependencies}\n\nWhat is known of these:\n{dependency_docs}\n\nSources:\n{source}\n",
     ("startup", "doc"): "Describe how the program starts.\n\nCall tree: {tree}\n\nmain:\n{main}\n\nCalled from main:\n{called}\n\nMain loop {loop_name} in {loop_file}:\n{loop}\n",
     ("function", "train"): "Write questions and answers on this function.\n\n{doc}\n\n{source}\n",
     ("macro", "train"): "Write questions and answers on this macro.\n\n{doc}\n\n{source}\n",
@@ -42,6 +47,45 @@ class OfflineStub:
         return [None if p is None else "stub:" + hashlib.md5(p.encode("utf-8", "surrogatepass")).hexdigest() for p in prompts]
 
 
+class ChatCompleter:
+    """A service with the usual chat-completions interface (U1, U2), asked over HTTP from the executors.
+
+    Busy and failing answers are tried again with growing pauses; a prompt that fails for good is logged
+    and gets null, so one bad prompt never stops a table.  A missing or placeholder key asks nothing.
+    """
+
+    def __init__(self, url: str, key: str | None, model: str, timeout: float = 120, tries: int = 4, pause: float = 1, **settings):
+        self.url, self.key, self.model, self.timeout, self.tries, self.pause, self.settings = url, key, model, timeout, tries, pause, settings
+
+    def __call__(self, prompts: list[str | None]) -> list[str | None]:
+        usable = self.key and not self.key.lower().startswith("your")
+        return [self.one(p) if usable and p is not None else None for p in prompts]
+
+    def one(self, prompt: str) -> str | None:
+        body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], **self.settings}
+        request = urllib.request.Request(self.url.rstrip("/") + "/chat/completions", json.dumps(body).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {self.key}"})
+        for i in range(self.tries):
+            try:
+                with urllib.request.urlopen(request, timeout=self.timeout) as reply:
+                    choices = json.loads(reply.read()).get("choices") or [{}]
+                    return (choices[0].get("message") or {}).get("content")
+            except (urllib.error.URLError, TimeoutError, ValueError, OSError) as e:
+                final = isinstance(e, urllib.error.HTTPError) and e.code not in (408, 429) and e.code < 500
+                if final or i + 1 == self.tries:
+                    logging.getLogger("factloom").warning("no completion: %s", e)
+                    return None
+                time.sleep(self.pause * 2**i)
+        return None
+
+
+def completer(settings: dict) -> Completer:
+    """The configured service, or the offline stub where none is named."""
+    if not settings.get("base_url"):
+        return OfflineStub()
+    extra = {k: settings[k] for k in ("temperature", "max_tokens", "top_p", "frequency_penalty", "presence_penalty") if k in settings}
+    return ChatCompleter(settings["base_url"], settings.get("api_key"), settings.get("model", "default"), **extra)
+
+
 def render(rows: DataFrame, kind: str, stage: str, key: Column, path: Column, **values: Column) -> DataFrame:
     """Prompt rows of one kind and stage."""
     prompt = X.template(TEMPLATES[kind, stage], **{k: X.or_default(v.cast("string"), "none") for k, v in values.items()})

@@ -1,6 +1,8 @@
 """Facts of C sources: a tokenizer, a small preprocessor and a declaration scanner.
 
-Every file is parsed on its own and in parallel; names are resolved across files by joins later.
+Every file is parsed on its own and in parallel; names are resolved across files by joins later.  The
+headers that a file includes, directly or not, come along as their directives, so their macros hold
+where conditions ask for them.  A header's own facts are those it has by itself.
 Limits: declarations that macros generate, and parameter lists in the old style, are not seen.
 """
 
@@ -8,6 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Mapping
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -27,10 +30,33 @@ def strip_comments(text: str) -> str:
     return _COMMENT.sub(lambda m: m[0] if m[0][0] in "\"'" else re.sub(r"[^\n]", " ", m[0]), text)
 
 
-def preprocess(text: str, defines: Mapping[str, str] = {}) -> tuple[list[str], list[tuple]]:
+class Headers(NamedTuple):
+    """What a file can include: (including file, name) to the header's path, and headers' directives by path."""
+
+    found: Mapping[tuple[str, str], str]
+    texts: Mapping[str, str]
+
+
+def directives(text: str) -> str:
+    """The directive lines of a text with their continuations, comments blanked: all that an includer needs."""
+    out, inside = [], False
+    for line in strip_comments(text or "").split("\n"):
+        if inside or line.lstrip().startswith("#"):
+            out.append(line)
+            inside = line.rstrip().endswith("\\")
+        elif out and out[-1]:
+            out.append("")  # what stands between two directives matters for guards only
+    return "\n".join(out)
+
+
+def preprocess(text: str, defines: Mapping[str, str] = {}, file: str = "", headers: Headers | None = None) -> tuple[list[str], list[tuple]]:
     """Active lines without directives, and (kind, name, value, extra, line, end) of macros and includes."""
+    return _walk(text, dict(defines), file, headers or Headers({}, {}), [], set())
+
+
+def _walk(text: str, known: dict[str, str], file: str, headers: Headers, above: list[str], once: set[str]) -> tuple[list[str], list[tuple]]:
     lines = strip_comments(text).split("\n")
-    out, found, known = [""] * len(lines), [], dict(defines)
+    out, found = [""] * len(lines), []
     stack: list[list[bool]] = []  # [active, some branch was taken, enclosing active]
     effective, i = "", 0
     while i < len(lines):
@@ -63,8 +89,13 @@ def preprocess(text: str, defines: Mapping[str, str] = {}) -> tuple[list[str], l
                     found.append(("macro", d[1], body, d[2], start + 1, i + 1))
             elif active and word == "undef":
                 known.pop(rest, None)
+            elif active and word == "pragma" and rest.split()[:1] == ["once"]:
+                once.add(file)
             elif active and word == "include" and (d := re.match(r'(["<])([^">]+)[">]', rest)):
                 found.append(("include", d[2], None, "quoted" if d[1] == '"' else "angled", start + 1, i + 1))
+                path = headers.found.get((file, d[2]))
+                if path in headers.texts and path not in above and path not in once and path != file:
+                    _walk(headers.texts[path], known, path, headers, [*above, file], once)
         if line.strip():
             effective = re.sub(r"^#[ \t]+", "#", line.strip())
         i += 1
@@ -77,18 +108,110 @@ def _holds(word: str, rest: str, known: Mapping[str, str]) -> bool:
     if word == "ifndef":
         return rest.split()[0] not in known if rest else False
     text = re.sub(r"defined\s*(?:\(\s*(\w+)\s*\)|(\w+))", lambda m: "1" if (m[1] or m[2]) in known else "0", rest)
-    for _ in range(8):
-        text = re.sub(r"[A-Za-z_]\w*", lambda m: known.get(m[0], "0") or "1", text)
-    text = re.sub(r"(?<=\d)[uUlL]+\b", "", text).replace("&&", " and ").replace("||", " or ")
-    text = re.sub(r"!(?!=)", " not ", text)
-    if len(text) > 500 or not re.fullmatch(r"[\d\sxa-fA-F()<>=!+\-*/%&|^~andornt]*", text):
-        return False
     try:
-        return bool(eval(text, {"__builtins__": {}}))  # digits and operators only
-    except Exception:
+        return bool(_Condition(_expanded(text, known, frozenset())).value())
+    except (ValueError, RecursionError):
         return False
 
 
+def _expanded(text: str, known: Mapping[str, str], inside: frozenset[str]) -> list[str]:
+    """Tokens of a condition with macros expanded; a macro inside its own expansion is left, and counts as 0."""
+    out = []
+    for m in _CONDITION.finditer(text):
+        t = m[0]
+        if (t[0].isalpha() or t[0] == "_") and t in known and t not in inside:
+            out += _expanded(known[t] or "1", known, inside | {t})
+            if len(out) > 100_000:
+                raise ValueError("a condition grows without end")
+        else:
+            out.append(t)
+    return out
+
+
+_CONDITION = re.compile(r"[A-Za-z_]\w*|0[xX][0-9a-fA-F]+[uUlL]*|\d\w*|'(?:\\.|[^'\\])'|<<|>>|<=|>=|==|!=|&&|\|\||\S")
+_LEVELS = (("||",), ("&&",), ("|",), ("^",), ("&",), ("==", "!="), ("<", "<=", ">", ">="), ("<<", ">>"), ("+", "-"), ("*", "/", "%"))
+
+
+class _Condition:
+    """Integer conditions with C's operators, in 64 bits; anything else is a ValueError."""
+
+    def __init__(self, tokens: list[str]):
+        self.tokens, self.at = [*tokens, ""], 0
+
+    def take(self, *some: str) -> str:
+        t = self.tokens[self.at]
+        if t and t in some:
+            self.at += 1
+            return t
+        return ""
+
+    def value(self) -> int:
+        v = self.choice()
+        if self.tokens[self.at]:
+            raise ValueError(self.tokens[self.at])
+        return v
+
+    def choice(self) -> int:
+        v = self.binary(0)
+        if not self.take("?"):
+            return v
+        a = self.choice()
+        if not self.take(":"):
+            raise ValueError("?")
+        b = self.choice()
+        return a if v else b
+
+    def binary(self, level: int) -> int:
+        if level == len(_LEVELS):
+            return self.unary()
+        a = self.binary(level + 1)
+        while op := self.take(*_LEVELS[level]):
+            a = _wrapped(_applied(op, a, self.binary(level + 1)))
+        return a
+
+    def unary(self) -> int:
+        op = self.take("!", "-", "+", "~", "(")
+        if op == "(":
+            v = self.choice()
+            if not self.take(")"):
+                raise ValueError("(")
+            return v
+        if op:
+            v = self.unary()
+            return int(not v) if op == "!" else _wrapped(-v if op == "-" else ~v if op == "~" else v)
+        t = self.tokens[self.at]
+        self.at += 1
+        if t[:1] == "'":
+            return ord(t[1]) if len(t) == 3 else {"n": 10, "t": 9, "r": 13, "0": 0}.get(t[2], ord(t[2]))
+        if t[:1].isdigit():
+            digits = t.rstrip("uUlL")
+            return _wrapped(int(digits, 8 if digits[0] == "0" and digits.isdigit() else 0))
+        if t[:1].isalpha() or t[:1] == "_":
+            if self.take("("):  # an unknown function-like macro
+                depth = 1
+                while depth and self.tokens[self.at]:
+                    depth += (self.tokens[self.at] == "(") - (self.tokens[self.at] == ")")
+                    self.at += 1
+            return 0
+        raise ValueError(t)
+
+
+def _wrapped(v: int) -> int:
+    return ((v + (1 << 63)) & ((1 << 64) - 1)) - (1 << 63)
+
+
+def _applied(op: str, a: int, b: int) -> int:
+    if op in ("/", "%"):
+        if not b:
+            raise ValueError("division by zero")
+        q = abs(a) // abs(b) * (1 if (a < 0) == (b < 0) else -1)
+        return q if op == "/" else a - q * b
+    if op in ("<<", ">>"):
+        return a << (b & 63) if op == "<<" else a >> (b & 63)
+    simple = {"||": lambda: int(bool(a or b)), "&&": lambda: int(bool(a and b)), "|": lambda: a | b, "^": lambda: a ^ b, "&": lambda: a & b, "==": lambda: int(a == b), "!=": lambda: int(a != b), "<": lambda: int(a < b), "<=": lambda: int(a <= b), ">": lambda: int(a > b), ">=": lambda: int(a >= b), "+": lambda: a + b, "-": lambda: a - b, "*": lambda: a * b}
+    return simple[op]()
+
+
 class _Parser:
     def __init__(self, lines: list[str]):
         self.tokens = [(m[0], n) for n, line in enumerate(lines, 1) for m in _TOKEN.finditer(line)]
@@ -112,9 +235,29 @@ class _Parser:
     def run(self) -> list[tuple]:
         i, n = 0, len(self.tokens)
         while i < n:
+            made, begin = len(self.rows), i
             i = self.declaration(i)
+            if not any(r[0] == "function" for r in self.rows[made:]):
+                self.outside(begin, i, {r[1] for r in self.rows[made:]})
         return self.rows
 
+    def outside(self, begin: int, end: int, declared: set[str]) -> None:
+        """Uses at file scope, of the owner ``global``: types of variables and fields, initialisers, sizes."""
+        uses, types = {}, {}
+        for p in range(begin, min(end, len(self.tokens))):
+            t, line = self.tokens[p]
+            if not re.match(r"[A-Za-z_]\w*$", t) or t in KEYWORDS or t in declared:
+                continue
+            before = self.tokens[p - 1][0] if p > begin else ""
+            if before in ("struct", "union", "enum"):
+                types.setdefault(t, before)
+            elif before not in (".", "->"):
+                uses.setdefault(t, line)
+        for t, line in uses.items():
+            self.add("use", t, "global", start=line)
+        for t, kind in types.items():
+            self.add("type_use", t, "global", kind)
+
     def declaration(self, i: int) -> int:
         begin, k, n = i, i, len(self.tokens)
         base: list[str] | None = None
@@ -343,22 +486,60 @@ class _Parser:
         return out
 
 
-def parse(text: str, defines: Mapping[str, str] = {}) -> list[tuple]:
+def parse(text: str, defines: Mapping[str, str] = {}, file: str = "", headers: Headers | None = None) -> list[tuple]:
     """(kind, name, owner, value, extra, start_line, end_line) of every fact in order."""
-    lines, found = preprocess(text or "", defines)
+    lines, found = preprocess(text or "", defines, file, headers)
     rows = [(kind, name, None, value, extra, start, end) for kind, name, value, extra, start, end in found]
     return rows + _Parser(lines).run()
 
 
-def facts(files: DataFrame, path: str = "path", text: str = "text", defines: Mapping[str, str] = {}) -> DataFrame:
-    """Facts of every file (S2, S3, I12, H25); null text has none."""
+def facts(files: DataFrame, path: str = "path", text: str = "text", defines: Mapping[str, str] = {}, includes: DataFrame | None = None) -> DataFrame:
+    """Facts of every file (S2, S3, I12, H25); null text has none.
+
+    includes: (file, wanted, found), each include's header.  Without it headers are not looked into.
+    """
     defines = dict(defines)
+    rows = files.select(F.col(path).alias("_p"), F.col(text).alias("_t"))
+    if includes is not None:
+        rows = rows.join(_headers(rows, includes), "_p", "left")
+    # Parsing costs far more than moving sources, and a scan's partitions may be few.
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["file", "kind", "name", "owner", "value", "extra", "start_line", "end_line", "ord"]
         for batch in batches:
-            rows = [(file, *row, i) for file, body in zip(batch["_p"], batch["_t"]) for i, row in enumerate(parse(body, defines))]
-            out = pd.DataFrame(rows, columns=columns)
+            made = []
+            links = batch["_links"] if "_links" in batch else [None] * len(batch)
+            for file, body, some in zip(batch["_p"], batch["_t"], links):
+                headers = Headers({}, {})
+                for link in some if some is not None else ():
+                    headers.found[link["file"], link["wanted"]] = link["found"]
+                    headers.texts[link["found"]] = link["lines"]
+                made += [(file, *row, i) for i, row in enumerate(parse(body, defines, file, headers))]
+            out = pd.DataFrame(made, columns=columns)
             yield out.astype({"start_line": "Int32", "end_line": "Int32", "ord": "int32"})
 
-    return files.select(F.col(path).alias("_p"), F.col(text).alias("_t")).mapInPandas(run, SCHEMA)
+    return rows.mapInPandas(run, SCHEMA)
+
+
+def _headers(files: DataFrame, includes: DataFrame) -> DataFrame:
+    """(_p, _links) of files that include others: all links they follow, directly or not, with the headers' directives.
+
+    A unit sees its headers however often others see them too, so this grows with the units' closures;
+    headers travel as their directives only.
+    """
+    from ..operators import graph
+
+    links = graph._cut(includes.where("found IS NOT NULL").select("file", "wanted", "found").distinct())
+    reach = graph.closure(links.select(F.col("file").alias("src"), F.col("found").alias("dst")))
+
+    @F.pandas_udf("string")
+    def skeleton(texts: pd.Series) -> pd.Series:
+        return texts.map(directives)
+
+    seen = links.select(F.col("found").alias("_p")).distinct()
+    lines = graph._cut(files.join(seen, "_p", "left_semi").select(F.col("_p").alias("found"), skeleton("_t").alias("lines")))
+    # The links of a unit are its own and those of every header it reaches.
+    owners = reach.select(F.col("src").alias("_p"), F.col("dst").alias("file")).union(links.select("file", "file").distinct())
+    rows = owners.distinct().join(links, "file").join(lines, "found")
+    return rows.groupBy("_p").agg(F.collect_list(F.struct("file", "wanted", "found", "lines")).alias("_links"))
