@@ -62,6 +62,16 @@ def test_graph_of_nothing(spark):
     assert graph.levels(e, spark.createDataFrame([("q",)], "v string")).collect()[0].level == 0
 
 
+def test_paths_have_no_depth_limit(spark):
+    chain = edges_of(spark, [(f"n{i:03}", f"n{i + 1:03}") for i in range(70)])
+    start = spark.createDataFrame([("n000",)], "v string")
+    assert graph.call_paths(chain, start).agg(F.max("depth")).first()[0] == 70
+    assert graph.call_paths(chain, start, 5).agg(F.max("depth")).first()[0] == 5
+    assert graph.reachable(chain, start).agg(F.max("depth")).first()[0] == 70
+    assert graph.levels(chain).agg(F.max("level")).first()[0] == 70
+    assert graph.closure(chain.limit(9)).count() == 45
+
+
 def test_paths_stop_at_repeats(spark):
     got = graph.call_paths(edges_of(spark, [("a", "b"), ("b", "a"), ("b", "c")]), spark.createDataFrame([("a",)], "v string"))
     assert sorted(r.path for r in got.collect()) == [["a"], ["a", "b"], ["a", "b", "c"]]
@@ -114,10 +124,16 @@ def test_hot_names_don_t_multiply(spark):
     assert got.count() == 50 and {r.target_key for r in got.where("file = 'file1'").collect()} == {1} and {r.target_key for r in got.where("file = 'file2'").collect()} == {0}
 
 
-def test_doc_comments():
-    text = ["int a;", "// one", "// two", "int f();", "", "/* x */", "int g();", "/* y", " z */", "int h();", "int k();"]
-    assert [lines.doc_comment_start(text, n) for n in (4, 7, 10, 11)] == [2, 6, 8, 11]
-    assert lines.doc_comment_start(text, 7, compat=True) == 6 or lines.doc_comment_start(text, 7, compat=True) < 6
+def test_doc_comments(spark):
+    text = "\n".join(["int a;", "// one", "// two", "int f();", "", "/* x */", "int g();", "/* y", " z */", "int h();", "int k(); /* same line */", "int m();"])
+    one = spark.createDataFrame([(text,)], "t string")
+    at = lambda n, *more: one.select(lines.doc_comment_start(lines.comment_lines(F.col("t")), F.lit(n), *more)).first()[0]
+    assert [at(n) for n in (4, 7, 10, 11, 12, 1)] == [2, 6, 8, 11, 12, 1]
+    raw = F.split("t", "\n", -1)
+    assert [at(n, raw) for n in (4, 7, 10)] == [2, 1, 8]
+    ranges = spark.createDataFrame([("a.c", 4, 4), ("a.c", 10, 99), ("b.c", 1, 2)], "f string, s int, e int")
+    got = lines.documented_slices(ranges, one.select(F.lit("a.c").alias("f"), "t"), "f", "t", "s", "e").orderBy("f", "s").collect()
+    assert [r.body for r in got] == ["// one\n// two\nint f();", "/* y\n z */\nint h();\nint k(); /* same line */\nint m();", "// no source for b.c:1"]
 
 
 def test_text_functions(spark):

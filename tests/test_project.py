@@ -72,12 +72,73 @@ def test_macros_types_globals(found):
     assert rows(found.types, "kind", "name") == [("enum", "Mode"), ("struct", "Point")]
     assert rows(found.enum_values, "name", "value") == [("AUTO", 5), ("OFF", 0), ("ON", 4)]
     assert ("a", "/2") in rows(found.fields, "name", "parent_path")
-    assert rows(found.type_uses, "name", "use_function") == [("Point", "area"), ("Point", "more")]
+    assert rows(found.type_uses, "name", "use_function") == [("Point", "area"), ("Point", "global"), ("Point", "more")]
     assert rows(found.globals_, "name", "type_text") == [("colour", "int"), ("cursor", "int"), ("total", "int")]
     assert rows(found.global_uses, "name", "use_function") == [("total", "main")]  # a local of that name hides it
     assert ("main.c", "lib/shape.h") in rows(found.includes, "file", "included") and ("main.c", "missing.h") in rows(found.includes, "file", "included")
 
 
+def test_file_scope_uses_and_included_macros(spark):
+    files = {
+        "inc/cfg.h": "#ifndef CFG\n#define CFG\n#include \"deep.h\"\n#define FEATURE (DEEP - 1)\n#endif\n",
+        "inc/deep.h": "#pragma once\n#include \"cfg.h\"\n#define DEEP 2\n#define SIZE 8\nstruct Cell { int v; };\n",
+        "src/a.c": "#include \"../inc/cfg.h\"\n#if FEATURE == 1 && !defined(NO)\nint on(void) { return used(); }\n#else\nint off(void) { return 0; }\n#endif\nstruct Cell cells[SIZE];\nint other = SIZE;\n",
+        "src/b.c": "#include <stdio.h>\n#include \"gone.h\"\n#if 9**9**8\nint never(void) { return 0; }\n#endif\nextern int other;\nint *at = &other;\n",
+    }
+    df = spark.createDataFrame([(k, v, len(v)) for k, v in files.items()], "path string, text string, size long")
+    f = A.facts(df)
+    assert rows(f.functions, "file", "name") == [("src/a.c", "on")]
+    assert rows(f.includes, "file", "included") == [("inc/cfg.h", "inc/deep.h"), ("inc/deep.h", "inc/cfg.h"), ("src/a.c", "inc/cfg.h"), ("src/b.c", "gone.h"), ("src/b.c", "stdio.h")]
+    assert rows(A.missing_includes(df), "wanted") == [("gone.h",)]
+    assert rows(f.macro_uses, "name", "use_file", "use_function") == [("SIZE", "src/a.c", "global")]
+    assert rows(f.type_uses, "name", "use_function") == [("Cell", "global")] and A.in_functions(f.type_uses).count() == 0
+    assert rows(f.global_uses, "name", "use_file", "use_function") == [("other", "src/b.c", "global")]
+    assert dict(rows(A.progress(f), "kind", "n")) == {"calls": 1, "files": 4, "functions": 1, "globals": 3, "macros": 3, "types": 1}
+
+
+@pytest.mark.parametrize("text,value", [("A > 2 && defined(B)", 1), ("B == 4", 1), ("L == 16", 1), ("A ? 0 : 1", 0), ("1 << 70", 1), ("5 / 0", 0), ("X", 0), ("'a' == 97", 1), ("UNK(1,2) || 1", 1), ("010 == 8", 1), ("~0 == -1", 1), ("-7 % 4 == -3", 1), ("9**9**8", 0), ("(", 0), (" + ".join(["1"] * 3000) + " == 3000", 1)])
+def test_conditions(text, value):
+    known = {"A": "3", "B": "(A + 1)", "L": "0x10UL", "X": "X"}
+    assert cparse._holds("if", text, known) == bool(value)
+
+
+def test_module_prompts_tell_of_dependencies(found, read):
+    done = {r.entity_key: r for r in A.document_modules(found, read[0], P.OfflineStub(), 2).collect()}
+    assert set(done) == {"main", "init_clock", "shape"}
+    assert "shape: stub:" in done["main"].prompt and "stub:" not in done["shape"].prompt
+
+
+def test_chat_service():
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    asked = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            asked.append((self.path, self.headers["Authorization"], body))
+            text = body["messages"][0]["content"]
+            code = 400 if text == "bad" else 503 if text == "busy" and len(asked) < 3 else 200
+            self.send_response(code)
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(json.dumps({"choices": [{"message": {"content": f"\u200b{text}!"}}]}).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    settings = {"base_url": f"http://127.0.0.1:{server.server_port}/v1", "api_key": "k", "model": "m", "temperature": 0.5}
+    ask = P.completer(settings)
+    ask.pause = 0.01
+    assert ask(["busy", "bad", None]) == ["\u200bbusy!", None, None]
+    assert asked[0][:2] == ("/v1/chat/completions", "Bearer k") and asked[0][2]["temperature"] == 0.5 and len(asked) == 4
+    assert P.completer(settings | {"api_key": "your-key"})(["x"]) == [None] and isinstance(P.completer({}), P.OfflineStub)
+    server.shutdown()
+
+
 def test_modules(found):
     members, deps = A.module_tables(found)
     got = dict((f, m) for m, f in rows(members, "module", "file"))
