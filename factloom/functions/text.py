@@ -19,11 +19,16 @@ def bare_type(x: Column | str) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
+def stripped(x: Column | str) -> Column:
+    """No white space of any kind at either end."""
+    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+
+
 def section(x: Column | str, heading: str, stop: str) -> Column:
     """Text behind a heading up to the next stop (H4): the whole text without the heading."""
     x = _c(x)
     behind = F.substring(x, F.instr(x, heading) + len(heading), F.char_length(x))
-    return F.when(F.instr(x, heading) > 0, F.trim(F.split_part(behind, F.lit(stop), F.lit(1)))).otherwise(x)
+    return F.when(F.instr(x, heading) > 0, stripped(F.split_part(behind, F.lit(stop), F.lit(1)))).otherwise(x)
 
 
 def section_or_null(x: Column | str, heading: str, stop: str) -> Column:

@@ -252,14 +252,6 @@ def q_components_all(spark, d):
     return G.components(edges)
 
 
-@query()
-def q_capped_pack(spark, d):
-    """Documents of a source packed in order of their ids into modules of at most 131,072 characters."""
-    docs = _t(spark, d, "documents").select(F.col("source").alias("dir"), F.col("doc_id").cast("string").alias("file"), F.col("n_chars").alias("size"))
-    chain = docs.select("dir", F.col("file").alias("src"), (F.col("file").cast("long") + 20).cast("string").alias("dst"))
-    return M.capped_components(docs, chain, 131072)
-
-
 # --- lines and text ----------------------------------------------------------------------------
 
 _LINES = "lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1)::INT AS line_no FROM documents)"
@@ -303,7 +295,7 @@ def q_continuation(spark, d):
     return L.continued(_lines(spark, d), "doc_id", ~F.endswith("text", F.lit(".")))
 
 
-@query("""SELECT page_id, CASE WHEN instr(html, '<article>') > 0 THEN trim(string_split(substr(html, instr(html, '<article>') + 9), '</article>')[1]) ELSE html END AS body FROM pages""")
+@query("""SELECT page_id, CASE WHEN instr(html, '<article>') > 0 THEN regexp_replace(string_split(substr(html, instr(html, '<article>') + 9), '</article>')[1], '^\\s+|\\s+$', '', 'g') ELSE html END AS body FROM pages""")
 def q_section(spark, d):
     return _t(spark, d, "pages").select("page_id", X.section("html", "<article>", "</article>").alias("body"))
 

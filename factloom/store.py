@@ -25,17 +25,17 @@ def work_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str = "t") -> DataFrame:
-    """The same rows read from a Parquet table in the shared folder."""
+def written(df: DataFrame, name: str = "t", folder: str | None = None) -> DataFrame:
+    """The same rows read from a Parquet table in the shared folder, or in one that the caller will remove."""
     spark = df.sparkSession
-    path = f"{work_dir(spark)}/{name}"
-    df.write.parquet(path)
+    path = f"{folder or work_dir(spark)}/{name}"
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def bucketed(df: DataFrame, path: str, buckets: int, keys: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
     """The same rows as a table of files by bucket, one file each: joins on the keys don't move them."""
-    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path)
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).option("path", path).option("compression", "zstd")
     if sort:
         writer = writer.sortBy(*sort)
     name = f"bucketed_{uuid.uuid4().hex}"
