@@ -109,9 +109,11 @@ class FingerprintIndex:
         rows = docs.select(F.monotonically_increasing_id().alias("_row"), "_id", "_doc", "_text")
         log = store.bucketed(rows, f"{self.path}/{name}", buckets, ["_row"])
         self.state["texts"].append(name)
-        segments = written(_segments(log, window, gram, number), "segments")
+        # What serves this batch only goes when it is done.
+        scratch = work_dir(self.spark)
+        segments = written(_segments(log, window, gram, number), "segments", scratch)
         fresh = self._write(segments, 0)
-        verdict = written(_verdict(fresh, runs), "verdict")
+        verdict = written(_verdict(fresh, runs), "verdict", scratch)
         # Segments that an earlier document has go whole; others with a shared anchor are opened.
         judged = segments.join(verdict, ["anchor", "content", "check"])
         judged = written(judged.where("first < doc OR open").select("anchor", "doc", "row", "place", "first"), "judged")
@@ -119,7 +121,7 @@ class FingerprintIndex:
         opened = verdict.where("open").select("anchor").distinct()
         for run in runs:
             wanted = wanted.union(run.join(opened, "anchor", "left_semi").select("anchor", "row", "place"))
-        wanted = written(wanted, "wanted")
+        wanted = written(wanted, "wanted", scratch)
         windows = _windows(log, wanted, window, number)
         for i, old in enumerate(logs):
             windows = windows.union(_windows(old, wanted, window, i))
@@ -128,6 +130,7 @@ class FingerprintIndex:
         least = windows.groupBy(*key).agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").drop("last")
         single = windows.where(F.col("log") == number).join(least, key).where("first < doc").select("row", _place(F.col("start"), 1).alias("place"))
         removed = judged.where("first < doc").select("row", "place").union(single)
+        store.remove(self.spark, scratch)
         self._commit()
         self.compact()
         return _finish(log, removed, window)
