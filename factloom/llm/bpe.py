@@ -23,13 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, partitions, table
+from .common import column, partitions, size_in_bytes, table
 from .winnow import pieces
 
 #: White space as the tokenizer's normaliser sees it; other control characters belong to words.
 SPACES = "\t-\r \x85\xa0  -     　"
 #: Bytes of text in a block, unless one document alone has more.
 BLOCK_BYTES = 8 << 20
+#: Bytes of input for each word partition, and the most of these.
+PART_BYTES, MOST_PARTS = 64 << 20, 8192
 _RUN = re.compile(f"[^{SPACES}]+")
 
 
@@ -167,7 +169,9 @@ def encode(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", tex
     """
     spark = docs.sparkSession
     path = path or default_path()
-    parts = parts or 2 * partitions(spark)
+    # Each word partition serves some input, so none grows with the corpus; a block has tens of thousands
+    # of words, and more partitions than MOST_PARTS would leave it a few for each.
+    parts = parts or int(min(MOST_PARTS, max(2 * partitions(spark), size_in_bytes(docs.select(text_col)) // PART_BYTES)))
     # Both uses read all columns, so that one shuffle of the blocks serves them.
     made = blocks(docs, id_col, text_col, parts, block_bytes).repartition(partitions(spark), "block")
     id_type = made.schema["ids"].dataType.elementType

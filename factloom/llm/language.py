@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import chain, winnow
-from .common import column, table
+from .common import column, load_arrays, save_arrays, table
 
-#: The fit uses at most so many documents of each language, by hash of their ids, and words of each.
-SAMPLE_DOCS, SAMPLE_WORDS = 300, 400
+#: The fit uses at most so many documents of each language, by hash of their ids, and of longer ones so
+#: many words in SPANS pieces that are spread evenly over the whole text.
+SAMPLE_DOCS, SAMPLE_WORDS, SPANS = 300, 400, 10
 #: Hashed weights of lexicon and affixes, and of n-grams.
 WORD_BITS, GRAM_BITS = 17, 16
 ROUNDS = 30
@@ -145,8 +146,21 @@ def fit(texts: list[str], langs: list[str], rounds: int = ROUNDS) -> Model | Non
     return Model(labels, x[0].astype(np.float32), x[1].astype(np.float32), x[2])
 
 
+def save(spark: SparkSession, model: Model, path: str) -> None:
+    """Write a fitted model to the shared folder, so that later jobs needn't fit it again."""
+    save_arrays(spark, path, labels=np.array(model.labels), words=model.words, grams=model.grams, transition=model.transition)
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    found = load_arrays(spark, path)
+    return Model([str(x) for x in found["labels"]], found["words"], found["grams"], found["transition"])
+
+
 def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], list[str]]:
-    """Bounded: SAMPLE_DOCS documents of each language, at most SAMPLE_WORDS words of each."""
+    """Bounded: SAMPLE_DOCS documents of each language, SAMPLE_WORDS words of each, from all over its text.
+
+    Of rows with one id and language one text is taken, the smallest.
+    """
     usable = docs.where(F.col(id_col).isNotNull() & ~held_out(id_col) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     keyed = usable.select(F.col(lang_col).alias("lang"), F.struct(F.xxhash64(id_col, F.lit(23)).alias("h"), F.col(id_col).alias("id")).alias("k"))
     # The smallest hashes of each language, kept small in every partition before they are merged.
@@ -155,8 +169,14 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     chosen = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("part", "k"))).where(F.col("r") <= SAMPLE_DOCS).select("lang", F.col("k.id").alias("id"))
     # Bounded rows of two values, so it may be broadcast.
     rows = usable.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).join(F.broadcast(chosen), ["id", "lang"])
-    cut = F.array_join(F.slice(F.split("t", r"[\x20\x09-\x0D]+"), 1, SAMPLE_WORDS), " ")
-    got = sorted((r["id"], r["lang"], r["t"]) for r in rows.select("id", "lang", cut.alias("t")).collect())
+    words = F.filter(F.split("t", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    size = SAMPLE_WORDS // SPANS
+    last = F.size("w") - size
+    spans = F.transform(F.sequence(F.lit(0), F.lit(SPANS - 1)), lambda i: F.slice("w", F.floor(i * last / (SPANS - 1)).cast("int") + 1, size))
+    cut = F.when(F.size("w") <= SAMPLE_WORDS, F.col("w")).otherwise(F.flatten(spans))
+    rows = rows.select("id", "lang", words.alias("w")).select("id", "lang", F.array_join(cut, " ").alias("t"))
+    # Repeated ids may be many, so they meet before anything is sent to the driver.
+    got = sorted((r["id"], r["lang"], r["t"]) for r in rows.groupBy("id", "lang").agg(F.min("t").alias("t")).collect())
     return [x[2] for x in got], [x[1] for x in got]
 
 

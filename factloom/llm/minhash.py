@@ -8,8 +8,12 @@ the union estimates the similarity; what passes is verified on the full sets.
 Dense groups must not be paired off.  Each class first names the smaller classes that share most
 value pairs with it; these chains, and spanning forests of the lists that join several chains, gather
 classes into families outside of which no pair passes the estimate.  Chains and forests are verified
-first.  Inside a family only blocks of classes that this left in different components are compared,
-on full sets, and no pair is verified whose components have met.
+first.  Inside a family only blocks of classes that this left in different components are compared, by
+sketches long enough to hold most sets whole; no text travels with them, and no pair is looked at whose
+components have met.
+
+Sets of fewer than SMALL shingles are similar only if one is the other with one shingle more, which a
+join on sets without one of their shingles finds.
 """
 
 from __future__ import annotations
@@ -33,8 +37,14 @@ K = 32
 CHAINED, CENTRES = 4, 3
 #: Values that start a list, and values tried for each further split.
 STARTS, STEPS, DEPTH = 8, 3, 3
-#: A list of more classes than this is split.
-LIST_MOST = 128
+#: A list of more classes than this is split; one that can't be is compared in blocks of half of BLOCK.
+LIST_MOST, BLOCK = 128, 1024
+#: Values of the sketches that members of a family are compared by, and half the members of a meeting.
+LONG, FAMILY_BLOCK = 512, 2048
+#: Estimates by long sketches below this are dropped: more than five standard deviations under 0.8.
+LONG_LEAST = 0.7
+#: Below this size a set's partners differ from it by one shingle: 7 of 9 shingles are less than 80 %.
+SMALL = 8
 #: Union-sketch estimates below this are dropped: more than four standard deviations under 0.8.
 ESTIMATE_LEAST = 0.44
 PERCENT = 80
@@ -81,11 +91,19 @@ def _bucket():
     return F.floor(F.log(F.col("n")) / F.log(F.lit(SIZE_STEP))).cast("int")
 
 
+def _small_links(classes: DataFrame) -> DataFrame:
+    """(a, b) of all similar pairs whose smaller set has fewer than SMALL shingles: exact, and linear in the classes."""
+    some = classes.where(F.col("n").between(4, SMALL)).select("cid", "n", "sketch")
+    whole = some.where(F.col("n") < SMALL).select(F.col("cid").alias("a"), F.col("sketch").alias("key"))
+    less = some.where("n > 4").select(F.col("cid").alias("b"), F.explode(F.transform("sketch", lambda v: F.array_remove("sketch", v))).alias("key"))
+    return whole.join(less, "key").select("a", "b")
+
+
 def _chains(classes: DataFrame) -> DataFrame:
     """(a, b, best): for each class the smaller ones that share most value pairs with it, if the sketches pass."""
     pairs = F.array(*[F.xxhash64(F.get("sketch", F.lit(i)), F.get("sketch", F.lit(j)), "b") for j in range(CHAINED) for i in range(j)])
     both = F.explode(F.array("b", F.col("b") + 1))
-    rows = classes.select("cid", "sketch", _bucket().alias("b")).where(F.size("sketch") >= CHAINED).select("cid", "sketch", both.alias("b"))
+    rows = classes.select("cid", "sketch", _bucket().alias("b")).where(F.col("n") >= SMALL).select("cid", "sketch", both.alias("b"))
     rows = rows.select("cid", F.explode(pairs).alias("key"))
     centres = rows.groupBy("key").agg(F.min("cid").alias("centre"), F.count("*").alias("members")).where("members > 1").drop("members")
     votes = rows.join(centres, "key").where("centre < cid").groupBy("cid", "centre").agg(F.count("*").alias("votes"))
@@ -105,28 +123,27 @@ def _chains(classes: DataFrame) -> DataFrame:
 
 
 def _lists(classes: DataFrame) -> DataFrame:
-    """(key, cid, comp): lists of at most LIST_MOST classes that span components, with exact blocks of those that can't be split.
+    """(key, cid, comp): lists of at most LIST_MOST classes that span components, and blocks of those that can't be split.
 
-    classes: (cid, n, sketch, comp).
+    classes: (cid, n, sketch, comp), sets of SMALL shingles or more.  Similar ones share a start and two
+    further values at most STEPS places on, whatever their sizes.
     """
-    at = classes.select("cid", "comp", F.size("sketch").alias("len"), F.posexplode(F.slice("sketch", 1, STARTS)).alias("pos", "value"), _bucket().alias("b"))
-    at = at.select("cid", "comp", "len", "pos", F.explode(F.array(F.xxhash64("value", "b"), F.xxhash64("value", F.col("b") + 1))).alias("key"))
+    at = classes.where(F.col("n") >= SMALL).select("cid", "comp", F.posexplode(F.slice("sketch", 1, STARTS)).alias("pos", "value"), _bucket().alias("b"))
+    at = at.select("cid", "comp", "pos", F.explode(F.array(F.xxhash64("value", "b"), F.xxhash64("value", F.col("b") + 1))).alias("key"))
     done, depth = [], 1
     while True:
-        counts = at.groupBy("key").agg(F.count("*").alias("members"), F.max(F.col("pos") + 1 >= F.col("len")).alias("ended"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        counts = at.groupBy("key").agg(F.count("*").alias("members"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         known = written(at.join(counts.where("members > 1 AND lo < hi").drop("lo", "hi"), "key"), f"lists{depth}")
         done.append(known.where(F.col("members") <= LIST_MOST).select("key", "cid", "comp"))
-        last = F.lit(depth >= DEPTH) | F.col("ended")
-        rest = known.where((F.col("members") > LIST_MOST) & last)
-        if not rest.isEmpty():
-            done.append(_spread(rest.select("key", "cid", "comp")))
-        long = known.where((F.col("members") > LIST_MOST) & ~last).select("key", "cid", "comp", "pos", "len")
+        long = known.where(F.col("members") > LIST_MOST).select("key", "cid", "comp", "pos")
         if long.isEmpty():
             return _union(done)
+        if depth >= DEPTH:
+            return _union([*done, _spread(long.select("key", "cid", "comp"), BLOCK // 2)])
         # Two similar classes of a long list share a further value among the next few with certainty close to one.
         ahead = F.posexplode(F.slice("sketch", F.col("pos") + 2, STEPS)).alias("step", "value")
-        at = long.join(classes.select("cid", "sketch"), "cid").select("cid", "comp", "len", "key", "pos", ahead)
-        at = at.select("cid", "comp", "len", (F.col("pos") + 1 + F.col("step")).alias("pos"), F.xxhash64("key", "value").alias("key"))
+        at = long.join(classes.select("cid", "sketch"), "cid").select("cid", "comp", "key", "pos", ahead)
+        at = at.select("cid", "comp", (F.col("pos") + 1 + F.col("step")).alias("pos"), F.xxhash64("key", "value").alias("key"))
         depth += 1
 
 
@@ -137,13 +154,12 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def _spread(lists: DataFrame) -> DataFrame:
-    """(key, cid, comp): lists of any length as blocks of about half of LIST_MOST and all pairs of blocks.
+def _spread(lists: DataFrame, half: int) -> DataFrame:
+    """(key, cid, comp): lists of any length as blocks of about ``half`` classes and all pairs of blocks.
 
     A component that fills blocks has blocks of its own, and these aren't paired with each other:
     every pair of classes of different components meets in a list, few others do.
     """
-    half = LIST_MOST // 2
     sizes = lists.groupBy("key", "comp").agg(F.count("*").alias("own"))
     big = F.col("own") >= half
     wide = F.ceil(F.col("own") / half).cast("int")
@@ -198,7 +214,7 @@ def _forests(lists: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _whole_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """Tables that end where a list ends; a list has at most LIST_MOST rows, so what is held is bounded."""
+    """Tables that end where a list ends; lists are short or blocks, so what is held is bounded."""
     held: pa.Table | None = None
     for batch in batches:
         if not batch.num_rows:
@@ -243,7 +259,8 @@ def _list_forests(rows: pa.Table) -> pa.RecordBatch:
             size = (100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])) & (comp[a] != comp[b])
             owner = np.repeat(np.arange(len(some)), len(i))[size]
             a, b = a[size], b[size]
-            e = estimate(sketch[a], sketch[b], n[a], n[b])
+            parts = [slice(x, x + 40000) for x in range(0, len(a), 40000)]
+            e = np.concatenate([estimate(sketch[a[x]], sketch[b[x]], n[a[x]], n[b[x]]) for x in parts]) if parts else np.zeros(0)
             ok = e >= ESTIMATE_LEAST
             a, b, e, owner = cid[a[ok]], cid[b[ok]], e[ok], owner[ok]
             if m > 2 and len(a):
@@ -306,59 +323,84 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long, linked boolean")
 
 
-def _settled(lists: DataFrame, classes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(a, b) links, verified on full sets, that join every two components of a list that any pair links."""
-    rows = lists.join(classes.select("cid", "n", _small().alias("sketch")), "cid").join(texts, "cid").select("key", "cid", "comp", "n", "sketch", "blob")
-    rows = rows.repartition(partitions(lists.sparkSession) * 2, "key").sortWithinPartitions("key", "cid")
+def _long_sketches(texts: DataFrame, size: int) -> DataFrame:
+    """(cid, n, long): the LONG smallest shingle hashes of each text; all of them, for most texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         undo = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                raw = pa.array([undo.decompress(x) for x in column(part, "blob").to_pylist()], pa.binary())
+                found = shingles(winnow.texts(raw), size)
+                values = [h[:LONG].view(np.int64) for h in found]
+                yield pa.RecordBatch.from_arrays([column(part, "cid"), pa.array([len(h) for h in found], pa.int64()), pa.array(values, pa.list_(pa.int64()))], ["cid", "n", "long"])
+
+    return texts.mapInArrow(run, "cid long, n long, long array<long>")
+
+
+def _settled(lists: DataFrame, sketches: DataFrame) -> DataFrame:
+    """(a, b, sure) pairs that join components of a list: links by whole sets, and candidates among larger sets."""
+    rows = lists.join(sketches, "cid").select("key", "cid", "comp", "n", "long")
+    rows = rows.repartition(partitions(lists.sparkSession) * 2, "key").sortWithinPartitions("key", "cid")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for some in _whole_lists(batches):
             key = some.column("key").to_numpy()
             cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]])).tolist()
-            found = [_settle(some.slice(x, y - x), undo, size) for x, y in zip(cuts, cuts[1:]) if y - x > 1]
-            links = [p for f in found for p in f]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in links], pa.int64()), pa.array([p[1] for p in links], pa.int64())], ["a", "b"])
+            for x, y in zip(cuts, cuts[1:]):
+                if y - x > 1:
+                    yield _settle(some.slice(x, y - x))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(run, "a long, b long, sure boolean")
 
 
-def _settle(rows: pa.Table, undo: zstandard.ZstdDecompressor, size: int) -> list[tuple[int, int]]:
-    cid, comp, n = (rows.column(c).to_numpy() for c in ("cid", "comp", "n"))
-    sketch = _matrix(rows.column("sketch").combine_chunks())
-    i, j = np.triu_indices(len(cid), 1)
-    ok = (100 * np.minimum(n[i], n[j]) >= PERCENT * np.maximum(n[i], n[j])) & (comp[i] != comp[j])
-    i, j = i[ok], j[ok]
-    e = estimate(sketch[i], sketch[j], n[i], n[j])
-    order = np.argsort(-e, kind="stable")
-    order = order[: int((e >= ESTIMATE_LEAST).sum())]
-    if not len(order):
-        return []
-    sets: dict[int, np.ndarray] = {}
-    parent = {c: c for c in set(comp.tolist())}
-    blobs = rows.column("blob")
+#: Places that values are counted in; two in one place only make an estimate larger.
+_PLACES = 2048
 
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
 
-    def full(k: int) -> np.ndarray:
-        if k not in sets:
-            sets[k] = shingles(winnow.texts(pa.array([undo.decompress(blobs[k].as_py())], pa.binary())), size)[0]
-        return sets[k]
-
-    links = []
-    for x, y in zip(i[order].tolist(), j[order].tolist()):
-        a, b = root(int(comp[x])), root(int(comp[y]))
-        if a == b:
-            continue
-        p, q = full(x), full(y)
-        both = np.intersect1d(p, q, assume_unique=True).size
-        if 100 * both >= PERCENT * (len(p) + len(q) - both):
-            parent[max(a, b)] = min(a, b)
-            links.append((int(cid[x]), int(cid[y])))
-    return links
+def _settle(rows: pa.Table) -> pa.RecordBatch:
+    cid, comp, n = (rows.column(c).to_numpy() for c in ("cid", "comp", "n"))
+    flat = rows.column("long").combine_chunks()
+    first = flat.offsets.to_numpy() - flat.offsets[0].as_py()
+    values = flat.flatten().to_numpy().view(np.uint64)
+    length = np.diff(first)
+    top = np.where(n > LONG, values[np.maximum(first[1:] - 1, 0)], np.iinfo(np.uint64).max)
+    dense = np.zeros((len(cid), _PLACES), np.float32)
+    np.add.at(dense, (np.repeat(np.arange(len(cid)), length), (winnow.mix(values) % np.uint64(_PLACES)).astype(np.int64)), 1)
+    label = np.unique(comp, return_inverse=True)[1]
+    out: list[tuple[int, int, bool]] = []
+    for lo in range(0, len(cid), 256):
+        some = np.arange(lo, min(lo + 256, len(cid)))
+        # Values up to the smaller of the two tops count; those of the other above it can't be shared.
+        least = np.minimum(top[some][:, None], top[None, lo:])
+        shared = dense[some] @ dense[lo:].T
+        small = np.minimum(n[some][:, None], n[None, lo:])
+        whole = (n[some][:, None] <= LONG) & (n[None, lo:] <= LONG)
+        size = np.where(whole, n[some][:, None] + n[None, lo:], 2.0 * np.minimum(small, LONG))
+        bound = np.where(whole, PERCENT / 100, LONG_LEAST)
+        # For larger sets the union of sketches has at least as many values as one of them up to the top.
+        ok = np.where(whole, shared >= bound * (size - shared), shared >= bound * np.minimum(small, LONG))
+        ok &= 100 * small >= PERCENT * np.maximum(n[some][:, None], n[None, lo:])
+        ok &= label[some][:, None] != label[None, lo:]
+        ok &= some[:, None] < np.arange(lo, len(cid))[None, :]
+        i, j = np.nonzero(ok)
+        order = np.argsort(-shared[i, j], kind="stable")
+        for p, q, t in zip(some[i[order]].tolist(), (j[order] + lo).tolist(), least[i, j][order].tolist()):
+            if label[p] == label[q]:
+                continue
+            a, b = values[first[p] : first[p + 1]], values[first[q] : first[q + 1]]
+            both = np.intersect1d(a, b, assume_unique=True).size
+            if n[p] <= LONG and n[q] <= LONG:
+                if 100 * both >= PERCENT * (len(a) + len(b) - both):
+                    out.append((int(cid[p]), int(cid[q]), True))
+                    label[label == label[q]] = label[p]
+                continue
+            t = np.uint64(t)
+            union = np.searchsorted(a, t, side="right") + np.searchsorted(b, t, side="right") - both
+            if both >= LONG_LEAST * union:
+                out.append((int(cid[p]), int(cid[q]), False))
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))], ["a", "b", "sure"])
 
 
 def _with_components(classes: DataFrame, found: DataFrame) -> DataFrame:
@@ -377,6 +419,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     sketches = classes.select("cid", "n", "sketch")
     chains = written(_chains(sketches), "chains")
+    small = written(_small_links(sketches), "small")
     lists = _lists(_with_components(sketches, components(chains, "a", "b")))
     forests = written(_forests(lists, sketches), "forests")
     # Every class with a passing partner is in a chain or in a forest, and so is every passing pair in one family.
@@ -388,9 +431,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     inside = families.select(F.col("node").alias("cid"), F.col("component").alias("key")).join(found, F.col("cid") == F.col("node"), "left").select("key", "cid", F.coalesce("component", "cid").alias("comp"))
     inside = written(inside, "inside")
     mixed = inside.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    more = written(_settled(_spread(inside.join(mixed, "key", "left_semi")), sketches, texts, shingle), "more")
-    if not more.isEmpty():
-        found = components(links.union(more), "a", "b")
+    inside = inside.join(mixed, "key", "left_semi")
+    longer = written(_long_sketches(texts.join(inside.select("cid").distinct(), "cid", "left_semi"), shingle), "longer")
+    settled = written(_settled(_spread(inside, FAMILY_BLOCK), longer), "settled").distinct()
+    more = settled.where("sure").select("a", "b").union(_verified(settled.where("not sure").select("a", "b"), texts, shingle).where("linked").select("a", "b"))
+    found = components(links.union(written(more.union(small), "more")), "a", "b")
     named = classes.select("cid", "s1", "s2", "least").join(found, F.col("cid") == F.col("node"), "left").withColumn("comp", F.coalesce("component", "cid"))
     names = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     result = rows.join(named.join(names, "comp").select("s1", "s2", "component_id"), ["s1", "s2"], "left")
@@ -405,10 +450,14 @@ def minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2).drop("_tag")
 
 
-def first_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """The documents, one of each group of near-duplicates: that with the smallest id."""
-    kept = near_duplicates(docs, shingle=shingle).where("kept").select(F.col("doc_id").alias("_id"), F.col("_tag").alias("_kept_tag"))
-    names = docs.columns
-    rows = docs.withColumn("_tag", tag("doc_id", "text"))
-    left = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_tag") == F.col("_kept_tag")), "left_semi")
-    return left.dropDuplicates(["doc_id", "_tag"]).select(*names)
+def first_of_each(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, one of each group of near-duplicates: that with the smallest id.
+
+    Documents without words are in no group and stay.  Of repeated rows one stays; a row with a null id
+    stays if nothing with an id is in its group.  Columns need no special names: they travel in a
+    struct; an empty table gives an empty one.
+    """
+    kept = near_duplicates(docs, id_col, text_col, shingle).where("kept").select(F.col(id_col).alias("_kept_id"), F.col("_tag").alias("_kept_tag"))
+    rows = docs.select(F.col(id_col).alias("_id"), tag(id_col, text_col).alias("_tag"), F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
+    left = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_tag") == F.col("_kept_tag")), "left_semi")
+    return left.dropDuplicates(["_id", "_tag"]).select("_row.*")

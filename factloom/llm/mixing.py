@@ -97,7 +97,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix: each row as often as it is taken (0 to 2 times)."""
+    """The documents of the mix: each row as often as it is taken (0 to 2 times).
+
+    A null text has no size and is taken as its source's rate says; a null source is a source of its own;
+    repeated rows and rows with null ids are mixed one by one; an empty table gives an empty one.
+    """
     names = docs.columns
     rows = _numbered(docs, "doc_id", "text", "source", tuple(names))
     made = copies(rows.select("_row", "_id", "_null", "_source", "size")).select("_row", "copies").where("copies > 0")

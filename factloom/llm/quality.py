@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chain, winnow
-from .common import column, table
+from .common import column, load_arrays, save_arrays, table
 
 #: At most so many labelled documents, those of the smallest hashes of their ids, are fitted to.
 SAMPLE_ROWS = 4000
@@ -156,6 +156,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     )
     # The sample has a fixed bound of rows of two integers, so it may be broadcast.
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
+    # Of rows with one id one text is taken, so their number is bounded too.
+    rows = rows.groupBy("_id", "_label").agg(F.min("_text").alias("_text")).select("_id", "_text", "_label")
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,6 +178,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     return Model(weights, transition)
 
 
+def save(spark: SparkSession, model: Model, path: str) -> None:
+    """Write a fitted model to the shared folder, so that later jobs needn't fit it again."""
+    save_arrays(spark, path, weights=model.weights, transition=model.transition)
+
+
+def load(spark: SparkSession, path: str) -> Model:
+    found = load_arrays(spark, path)
+    return Model(found["weights"], found["transition"])
+
+
 def score_quality(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep_columns: tuple[str, ...] = (), content_share: float = CONTENT_SHARE) -> DataFrame:
     """Base counts, verdict and content share of every document, in one pass without a shuffle.
 
@@ -220,7 +232,11 @@ def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with their own columns only."""
+    """The documents that are kept, with their own columns only.
+
+    Null and empty texts go, as the base rule rejects them; repeated rows and rows with null ids are
+    judged one by one; columns need no special names, and an empty table gives an empty one.
+    """
     names = docs.columns
     scored = score_quality(docs, fit(docs, labels), keep_columns=tuple(names))
     return scored.where("kept").select(*[F.col(f"_k_{c}").alias(c) for c in names])

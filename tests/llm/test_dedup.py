@@ -1,5 +1,6 @@
 """Substring, suffix and shingle deduplication against brute force."""
 
+import random
 from collections import Counter
 
 import numpy as np
@@ -106,7 +107,7 @@ def test_index_is_reopened_compacted_and_leaves_no_tables(spark, docs, rows):
     path = f"{work_dir(spark)}/index"
     out = []
     merges = []
-    for lo, hi in ((-1, 30), (30, 62), (62, 80), (80, 90), (90, (1 << 63) - 1)):
+    for lo, hi in ((-1, 30), (30, 70), (70, 85), (85, (1 << 63) - 1)):
         some = substring.batch(docs).where(F.col("_doc").between(lo + 1, hi))
         # Each batch opens the folder anew, as a later job would.
         index = substring.FingerprintIndex(spark, path)
@@ -127,7 +128,7 @@ def test_different_long_words_are_no_copies(spark):
             rows.append((len(rows), " ".join([x] + [f"w{k}" for k in range(49)])))
     rows += [(len(rows) + i, x) for i, x in enumerate(thue_morse(1024))]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert [r.n_removed for r in substring.dedup(df).collect()] == [0] * 8
+    assert [r.n_removed for r in substring.dedup(df, batches=1).collect()] == [0] * 8
     got = sorted(map(tuple, minhash.near_duplicates(df, shingle=2).drop("_tag").collect()))
     assert got == sorted(brute_components(rows, 2))
 
@@ -188,13 +189,50 @@ def brute_components(rows, size):
     return [(r[0], len(s), least.get(root(i)), r[0] == least.get(root(i))) for i, (r, s) in enumerate(zip(rows, sets))]
 
 
-@pytest.mark.parametrize("size,most", [(2, 128), (5, 128), (2, 4)])
-def test_minhash(docs, rows, size, most, monkeypatch):
+@pytest.mark.parametrize("size,most,block", [(2, 128, 2048), (5, 128, 2048), (2, 4, 3)])
+def test_minhash(docs, rows, size, most, block, monkeypatch):
     monkeypatch.setattr(minhash, "LIST_MOST", most)
+    monkeypatch.setattr(minhash, "BLOCK", most)
+    monkeypatch.setattr(minhash, "FAMILY_BLOCK", block)
     got = minhash.near_duplicates(docs, shingle=size).drop("_tag").collect()
     assert sorted(map(tuple, got), key=key) == sorted(brute_components(rows, size), key=key)
 
 
+def test_short_texts_and_one_word_more(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+    rows = []
+    for _ in range(60):
+        base = [rng.choice(words) for _ in range(rng.randint(1, 24))]
+        for _ in range(3):
+            some = list(base)
+            for _ in range(rng.randint(0, 2)):
+                at = rng.randrange(len(some) + 1)
+                some = some[:at] + ([rng.choice(words)] if rng.random() < 0.5 else []) + some[at + rng.randint(0, 1) :]
+            rows.append((len(rows), " ".join(some)))
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=2).drop("_tag").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute_components(rows, 2), key=key)
+
+
+def shifted(rng, n, length, kept):
+    """Texts of equal length that share a part of their words with one another, in place."""
+    base = [f"b{k}" for k in range(length)]
+    return [(i, " ".join(w if rng.random() < kept else f"x{i}_{k}" for k, w in enumerate(base))) for i in range(n)]
+
+
+def test_a_family_below_the_threshold_stays_apart_in_few_rows(spark, monkeypatch):
+    rows = shifted(random.Random(2), 1500, 120, 0.93)
+    rows += [(1500 + i, t + f" tail{i}") for i, t in rows[:40]]
+    texts = spark.createDataFrame(rows, "doc_id long, text string")
+    made = []
+    spread = minhash._spread
+    monkeypatch.setattr(minhash, "_spread", lambda lists, half: made.append(spread(lists, half)) or made[-1])
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(texts, shingle=2).collect()}
+    assert got == {r[0]: r[2] for r in brute_components(rows, 2)}
+    assert all(not {"_text", "blob"} & set(m.columns) for m in made)
+    assert made[-1].count() <= 4 * len(rows)
+
+
 def test_one_of_each_group_stays(docs, rows):
     kept = minhash.first_of_each(docs, shingle=5)
     assert kept.columns == docs.columns

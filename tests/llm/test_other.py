@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from factloom.llm import bpe, chain, language, mixing, quality, secrets, vectors, warc
+from factloom.llm import bpe, chain, language, minhash, mixing, quality, secrets, vectors, warc
 from factloom.llm.common import work_dir
 
 from .conftest import SCHEMA, WORD
@@ -406,6 +406,51 @@ def test_quality_learns_from_ends_of_long_documents(spark):
     assert not got[16] and got[17]
 
 
+def test_models_are_stored(spark, docs):
+    path = f"{work_dir(spark)}"
+    m = language.fit(["ab cd", "xy zz"], ["en", "fr"], rounds=3)
+    language.save(spark, m, f"{path}/l")
+    assert all(np.array_equal(a, b) for a, b in zip(m, language.load(spark, f"{path}/l")))
+    quality.save(spark, quality.NO_MODEL, f"{path}/q")
+    assert all(np.array_equal(a, b) for a, b in zip(quality.NO_MODEL, quality.load(spark, f"{path}/q")))
+
+
+def test_sampled_words_come_from_all_over_a_text(spark):
+    words = [f"w{i}" for i in range(5000)]
+    df = spark.createDataFrame([(i, " ".join(words), "en") for i in range(9)] * 3, "doc_id long, text string, lang string")
+    texts, _ = language.sample(df)
+    free = [i for i in range(9) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert len(texts) == len(free)
+    found = texts[0].split(" ")
+    assert len(found) == language.SAMPLE_WORDS and found[0] == "w0" and found[-1] == "w4999"
+    assert all(any(abs(int(x[1:]) - at) < 300 for x in found) for at in range(0, 5000, 500))
+
+
+def test_empty_tables(spark, empty):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert quality.keep_good(empty, labels).count() == language.predict(empty, language.fit(*language.sample(empty))).count() == 0
+    assert mixing.mixed(empty).count() == minhash.first_of_each(empty).count() == bpe.encode(empty).count() == 0
+
+
+def test_pipeline_with_odd_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _id string, _tag string, _row string, _kept_tag int"
+    body = lambda i: " ".join(f"word{(i * 7 + k * k) % 301} of" for k in range(60)) + "."
+    rows = [(i, body(i), "en", f"s{i % 3}", 1, "a", "b", "c", 1) for i in range(12)]
+    rows += [rows[3], rows[3], (None, body(40), None, None, None, "a", "b", "c", 1), (50, None, "en", "s0", 0, "a", "b", "c", 1), (51, "", "en", "s0", 0, "a", "b", "c", 1), (52, body(5), "en", "s0", 0, "a", "b", "c", 1)]
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    for some in (rows, []):
+        docs = spark.createDataFrame(some, schema)
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            docs = corpus_pipeline.written(stage(spark, docs, str(tmp_path)))
+            assert docs.schema.names == [c.split(" ")[0] for c in schema.split(", ")]
+            if "dedup" in name and some:
+                assert sorted(r.doc_id for r in docs.where("doc_id IS NOT NULL").collect()) == list(range(12)) and docs.where("doc_id IS NULL").count() == 1
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
