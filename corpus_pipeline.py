@@ -2,6 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that the stage before kept; its result
 is written as Parquet in the shared folder and read again as the next one's input.
+
+Documents with a null or empty text go at the first stage; of repeated rows the second keeps one; rows
+with null ids are judged like others; further columns of any name stay; an empty table gives an empty one.
 """
 
 from __future__ import annotations
