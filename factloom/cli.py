@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--mode", default="analyze", choices=["analyze", "split", "startup", *DOCS, *TRAIN])
     p.add_argument("--output", default="output")
     p.add_argument("--config")
+    p.add_argument("--depth", type=int, help="longest call paths in the call tree; all, if not given")
     for name in ("function", "macro", "struct", "var", "module"):
         p.add_argument(f"--{name}")
     a = p.parse_args(argv)
@@ -64,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
         sinks.json_lines(lost, out("missing_includes"))
         sinks.file_tree(files.select("path"), out("project_tree"))
         e = f.edges.where("callee_file IS NOT NULL").select(A.X.key("caller_file", "caller").alias("src"), A.X.key("callee_file", "callee").alias("dst"))
-        sinks.call_tree(e, A.graph.roots(e, f.functions.select(A.X.key("file", "name").alias("v"))), out("call_tree"))
+        sinks.call_tree(e, A.graph.roots(e, f.functions.select(A.X.key("file", "name").alias("v"))), out("call_tree"), a.depth)
     if a.mode in ("analyze", "split"):
         sinks.json_lines(sinks.module_records(*A.module_tables(f)), out("module_structure"))
     if a.mode in DOCS:

@@ -13,6 +13,11 @@ INIT = "main|init|config|setup|start|begin"
 SIZE_CAP = 131072
 
 
+def by_directory(files: DataFrame, path: str, size: str) -> DataFrame:
+    """(dir, n, size): files of each directory counted and summed."""
+    return files.groupBy(X.dir_name(path).alias("dir")).agg(F.count("*").alias("n"), F.sum(size).alias("size")).orderBy("dir")
+
+
 def capped_components(files: DataFrame, edges: DataFrame, cap: int = SIZE_CAP) -> DataFrame:
     """Size-capped components per directory (I3, A15): (dir, file, component, size).
 

@@ -232,20 +232,12 @@ def q_call_paths(spark, d):
     return G.call_paths(edges, spark.range(1).select(F.lit("r0").alias("v"))).select(F.array_join("path", ">").alias("path"), "depth")
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT s_suppkey % 40 AS a, 100 + s_nationkey AS b FROM supplier WHERE s_acctbal > 6000),
-n AS (SELECT a AS v FROM e UNION SELECT b FROM e), s AS (SELECT a AS x, b AS y FROM e UNION SELECT b, a FROM e),
-w AS (SELECT v, v AS r FROM n UNION SELECT w.v, y FROM w JOIN s ON w.r = x)
-SELECT v::BIGINT AS v, min(r)::BIGINT AS component FROM w GROUP BY v""")
+@query("""WITH RECURSIVE e AS (SELECT 's' || s_suppkey AS a, 'n' || s_nationkey AS b FROM supplier UNION SELECT 'c' || c_custkey, 'n' || c_nationkey FROM customer UNION SELECT 'o' || o_orderkey, 'c' || o_custkey FROM orders),
+s AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e),
+w(v, r) USING KEY (v) AS (SELECT DISTINCT x, x FROM s UNION SELECT s.y, min(w.r) FROM w JOIN s ON w.v = s.x JOIN recurring.w AS c ON c.v = s.y WHERE w.r < c.r GROUP BY s.y)
+SELECT v, r AS component FROM w""")
 def q_components(spark, d):
-    return G.components(_t(spark, d, "supplier").where("s_acctbal > 6000").select((F.col("s_suppkey") % 40).alias("src"), (F.lit(100).cast("long") + F.col("s_nationkey")).alias("dst")))
-
-
-@query()
-def q_components_all(spark, d):
-    """Suppliers and customers with their nations, orders with their customers: all rows under their own keys.
-
-    ``q_components`` is a slice of this that a quadratic closure in SQL can follow.
-    """
+    """Suppliers and customers with their nations, orders with their customers, all rows under their own keys."""
     k = lambda p, c: F.concat(F.lit(p), F.col(c).cast("string"))
     edges = _t(spark, d, "supplier").select(k("s", "s_suppkey").alias("src"), k("n", "s_nationkey").alias("dst"))
     edges = edges.union(_t(spark, d, "customer").select(k("c", "c_custkey"), k("n", "c_nationkey"))).union(_t(spark, d, "orders").select(k("o", "o_orderkey"), k("c", "o_custkey")))
@@ -370,7 +362,7 @@ def q_concat(spark, d):
 
 @query("""SELECT p_brand, count(*) AS n, sum(p_size)::BIGINT AS size FROM part GROUP BY 1 ORDER BY 1""")
 def q_group_by_dir(spark, d):
-    return _t(spark, d, "part").groupBy("p_brand").agg(F.count("*").alias("n"), F.sum("p_size").alias("size")).orderBy("p_brand")
+    return M.by_directory(_t(spark, d, "part").select(F.concat("p_brand", F.lit("/"), F.col("p_partkey").cast("string")).alias("path"), "p_size"), "path", "p_size").withColumnRenamed("dir", "p_brand")
 
 
 # --- the parser, on C text made from table rows ---------------------------------------------------

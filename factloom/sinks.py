@@ -71,9 +71,9 @@ def module_records(members: DataFrame, dependencies: DataFrame) -> DataFrame:
     return R.with_uses(files, dependencies, "module", "dependency", "dependencies").orderBy("module")
 
 
-def call_tree(edges: DataFrame, start: DataFrame, path: str) -> None:
-    """Call paths as indented text (K2)."""
-    graph.tree_text(graph.call_paths(edges, start)).select("line").coalesce(1).write.mode("overwrite").text(path)
+def call_tree(edges: DataFrame, start: DataFrame, path: str, most_depth: int | None = None) -> None:
+    """Call paths as indented text (K2): parts in order, sorted by range, so none is one task's."""
+    graph.tree_text(graph.call_paths(edges, start, most_depth)).select("line").write.mode("overwrite").text(path)
 
 
 def file_tree(paths: DataFrame, path: str) -> None:
