@@ -108,10 +108,13 @@ def fit(sample: np.ndarray, rows: float, least: float = LEAST, recall: float = T
     dim = sample.shape[1]
     codes = int(np.clip(np.ceil(np.sqrt(rows / PER_CELL)), 1, CODES_MOST))
     half = dim // 2
-    books = (_kmeans(sample[:, :half], codes, rng), _kmeans(sample[:, half:], codes, rng))
+    # Probes are no part of what the codebooks are fitted to: those would lie too close to their codes.
+    mixed = sample[rng.permutation(len(sample))]
+    held = min(2000, len(sample) // 5)
+    learned, probes = mixed[held:], mixed[:held] if held else mixed
+    books = (_kmeans(learned[:, :half], codes, rng), _kmeans(learned[:, half:], codes, rng))
     grid = Grid(dim, books, 1)
     found = []
-    probes = sample[rng.permutation(len(sample))[:2000]]
     for i in range(0, len(probes), 250):
         probe = probes[i : i + 250]
         noise = rng.standard_normal(probe.shape)
