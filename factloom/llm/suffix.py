@@ -96,9 +96,9 @@ def _offsets(window: int, length: int) -> list[int]:
 
 
 def _opened(log: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
-    """(anchor, row, place, n, context, big) for the wanted segments (anchor, row, place, n, big)."""
-    lists = wanted.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("anchor", "place", "n", "big")).alias("list"))
-    rows = log.join(lists, "_row").select("_row", "_text", F.col("list.anchor").alias("anchors"), F.col("list.place").alias("places"), F.col("list.n").alias("ns"), F.col("list.big").alias("bigs"))
+    """(anchor, row, place, context, big) for the wanted segments (anchor, row, place, big)."""
+    lists = wanted.groupBy(F.col("row").alias("_row")).agg(F.collect_list(F.struct("anchor", "place", "big")).alias("list"))
+    rows = log.join(lists, "_row").select("_row", "_text", F.col("list.anchor").alias("anchors"), F.col("list.place").alias("places"), F.col("list.big").alias("bigs"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,11 +116,11 @@ def _opened(log: DataFrame, wanted: DataFrame, window: int) -> DataFrame:
                     offsets = ends[lo : hi + 1] - ends[lo]
                     data = t.data[np.repeat(start[lo:hi] - offsets[:-1], length[lo:hi]) + np.arange(offsets[-1])]
                     context = pa.Array.from_buffers(pa.binary(), hi - lo, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data.tobytes())])
-                    flat = [column(part, c).flatten().slice(lo, hi - lo) for c in ("anchors", "ns", "bigs")]
+                    flat = [column(part, c).flatten().slice(lo, hi - lo) for c in ("anchors", "bigs")]
                     row = column(part, "_row").to_numpy()[owner[lo:hi]]
-                    yield pa.RecordBatch.from_arrays([flat[0], pa.array(row), pa.array(place[lo:hi]), flat[1], context, flat[2]], ["anchor", "row", "place", "n", "context", "big"])
+                    yield pa.RecordBatch.from_arrays([flat[0], pa.array(row), pa.array(place[lo:hi]), context, flat[1]], ["anchor", "row", "place", "context", "big"])
 
-    return rows.mapInArrow(run, "anchor long, row long, place long, n long, context binary, big boolean")
+    return rows.mapInArrow(run, "anchor long, row long, place long, context binary, big boolean")
 
 
 def _runs(place: np.ndarray, number: np.ndarray, row: np.ndarray, start: np.ndarray, hit: np.ndarray) -> list[np.ndarray]:
@@ -244,7 +244,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
     groups = segments.groupBy("content", "check").agg(F.count("*").alias("n"), F.first("anchor").alias("anchor"), F.min(F.struct("row", "place")).alias("one"))
     groups = written(groups, "groups")
     buckets = groups.groupBy("anchor").agg(F.count("*").alias("segments")).where("segments > 1")
-    opened = groups.join(buckets, "anchor").select("anchor", "one.row", "one.place", "n", (F.col("segments") > bucket_most).alias("big"))
+    opened = groups.join(buckets, "anchor").select("anchor", "one.row", "one.place", (F.col("segments") > bucket_most).alias("big"))
     whole = segments.drop("anchor").join(groups.where("n > 1").select("content", "check"), ["content", "check"], "left_semi")
     whole = whole.select("row", F.shiftright("place", 8).alias("lo"), (F.shiftright("place", 8) + F.col("place").bitwiseAND(0xFF)).alias("hi"))
     opened = written(_opened(log, opened, window), "opened")
