@@ -97,7 +97,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reposi
     values = values.withColumns({"_reach": F.max(fixed("end")).over(upto("start")), "_next": F.min(fixed("start")).over(upto(F.desc("start")))})
     meets = F.coalesce(F.col("_reach") > F.col("start"), F.lit(False)) | F.coalesce(F.col("_next") < F.col("end"), F.lit(False))
     values = written(values.where((F.col("rank") < 3) | ~meets).drop("_reach", "_next"), "values")
-    # Distinct step by step: each step is summed before its shuffle, so no value gathers its rows in one task.
+    # Distinct step by step: each step is summed before its shuffle.  The join back meets one row per value, so
+    # the adaptive skew join can split the rows of a widely copied one.
     frequency = (
         values.groupBy("value", "_owner", "_repository").agg(F.count("*").alias("n"))
         .groupBy("value", "_owner").agg(F.count("*").alias("n"))
