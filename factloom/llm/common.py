@@ -41,8 +41,9 @@ def load_arrays(spark: SparkSession, path: str) -> dict[str, np.ndarray]:
 
 
 def size_in_bytes(df: DataFrame) -> int:
-    """What the optimiser knows of a table's size, from its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    """What the optimiser knows of a table's size, from its files; 0 where it knows nothing."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 1 << 50 else 0
 
 
 def partitions(spark: SparkSession) -> int:
