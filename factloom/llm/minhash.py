@@ -461,3 +461,18 @@ def first_of_each(docs: DataFrame, shingle: int = 5, id_col: str = "doc_id", tex
     rows = docs.select(F.col(id_col).alias("_id"), tag(id_col, text_col).alias("_tag"), F.struct(*[F.col(c) for c in docs.columns]).alias("_row"))
     left = rows.join(kept, F.col("_id").eqNullSafe(F.col("_kept_id")) & (F.col("_tag") == F.col("_kept_tag")), "left_semi")
     return left.dropDuplicates(["_id", "_tag"]).select("_row.*")
+
+
+#: Brute force over all pairs of classes of like sizes: for small tables.
+SQL = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT n, doc_id, list_sort(list_distinct(CASE WHEN len(w) > 1 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END)) AS x FROM d),
+z AS (SELECT n, doc_id, len(x)::BIGINT AS m, list_transform(x, lambda v: hash(v)) AS x FROM s),
+c AS (SELECT x, any_value(m) AS m, min(n) AS id FROM z WHERE m > 0 GROUP BY x),
+l AS (SELECT a.id AS a, b.id AS b FROM c a JOIN c b ON a.id < b.id AND 100 * least(a.m, b.m) >= 80 * greatest(a.m, b.m) WHERE 180 * len(list_intersect(a.x, b.x)) >= 80 * (a.m + b.m)),
+e AS (SELECT a AS u, b AS v FROM l UNION ALL SELECT b, a FROM l),
+r(v, r) USING KEY (v) AS (SELECT id, id FROM c UNION SELECT e.v, min(r.r) FROM r JOIN e ON r.v = e.u JOIN recurring.r AS o ON o.v = e.v WHERE r.r < o.r GROUP BY e.v),
+k AS (SELECT z.doc_id, z.m, r.r FROM z LEFT JOIN c ON z.x = c.x AND z.m > 0 LEFT JOIN r ON r.v = c.id),
+g AS (SELECT r, min(doc_id) AS least FROM k WHERE r IS NOT NULL GROUP BY r)
+SELECT doc_id, m AS n_shingles, CASE WHEN r IS NULL THEN doc_id ELSE least END AS component_id, coalesce(doc_id = CASE WHEN r IS NULL THEN doc_id ELSE least END, (CASE WHEN r IS NULL THEN doc_id ELSE least END) IS NULL) AS kept FROM k LEFT JOIN g USING (r)
+"""

@@ -23,6 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_warc": warc.SQL,
+    "op2_substring": substring.SQL,
     "op4_secrets": secrets.SQL,
     "op6_mixing": mixing.SQL,
+    "op7_minhash": minhash.SQL,
+    "op8_suffix": suffix.SQL,
 }

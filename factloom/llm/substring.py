@@ -265,3 +265,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 def substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query op2: all documents."""
     return dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Brute force over every window's words: for small tables.
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+h AS (SELECT n, doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS h FROM (SELECT n, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+f AS (SELECT h, min(doc_id) AS first FROM h GROUP BY h),
+g AS (SELECT n, list(DISTINCT p) AS gone FROM (SELECT n, unnest(range(i, i + 50)) AS p FROM h JOIN f USING (h) WHERE first < doc_id OR doc_id IS NULL AND first IS NOT NULL) GROUP BY n),
+k AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed, CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept FROM d LEFT JOIN g USING (n))
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""

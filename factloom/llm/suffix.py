@@ -255,3 +255,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
 def suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query op8: all documents."""
     return dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Brute force over every window's bytes: for small tables.
+SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS n, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+w AS (SELECT n, i, md5(substr(x, 2 * i + 1, 400)) AS h FROM (SELECT n, x, unnest(range(0, len(x) // 2 - 199)) AS i FROM d)),
+r AS (SELECT n, i FROM w JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)),
+s AS (SELECT n, min(i) AS a, max(i) + 200 AS b FROM (SELECT n, i, sum(CASE WHEN i - p <= 200 THEN 0 ELSE 1 END) OVER (PARTITION BY n ORDER BY i) AS g FROM (SELECT n, i, lag(i) OVER (PARTITION BY n ORDER BY i) AS p FROM r)) GROUP BY n, g),
+t AS (SELECT n, count(*) AS spans, sum(b - a) AS gone, list(a ORDER BY a) AS s, list(b ORDER BY a) AS e FROM s GROUP BY n)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans,
+sha256(unhex(CASE WHEN s IS NULL THEN x ELSE array_to_string(list_transform(range(1, len(s) + 2), lambda k: substr(x, 2 * coalesce(e[k - 1], 0) + 1, 2 * (coalesce(s[k], len(x) // 2) - coalesce(e[k - 1], 0)))), '') END)) AS kept_sha256
+FROM d LEFT JOIN t USING (n)
+"""
