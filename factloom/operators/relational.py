@@ -59,12 +59,24 @@ def typed_uses(type_uses: DataFrame, globals_: DataFrame, global_uses: DataFrame
     return type_uses.select(name, *use).union(through).distinct()
 
 
-def members_by_path(groups: DataFrame, facts: DataFrame, group: str, path: str, defined_in: str, compat: bool = False) -> DataFrame:
-    """Facts of a group's files (J9, S26); ``compat`` matches a path as a substring, as a nested loop."""
-    files = groups.select(group, path).distinct()
-    if not compat:
-        return facts.join(files, F.col(defined_in) == F.col(path)).select(group, *facts.columns).distinct()
-    return facts.join(files, F.instr(F.col(defined_in), F.col(path)) > 0).select(group, *facts.columns).distinct()
+def members_by_path(groups: DataFrame, facts: DataFrame, group: str, path: str, defined_in: str, compat: bool = False, columns: Sequence[str] | None = None) -> DataFrame:
+    """Facts of a group's files (J9, S26); ``compat`` matches a path as a substring, as a nested loop.
+
+    columns: those of the facts that are kept, all by default.  Groups meet the distinct sets of files
+    that facts have, so a fact is made distinct once, before it is repeated for each of its groups.
+    """
+    kept = list(facts.columns if columns is None else columns)
+    files = groups.select(group, F.col(path).alias("_path")).distinct()
+    if defined_in in kept:
+        keyed = facts.select(*kept).repartition(*kept).distinct().withColumn("_files", F.array(defined_in))
+        sets = facts.select(F.array(defined_in).alias("_files")).distinct()
+    else:
+        keyed = facts.select(*kept, defined_in).repartition(*kept).groupBy(*kept).agg(F.array_sort(F.collect_set(defined_in)).alias("_files"))
+        sets = keyed.select("_files").distinct()
+    matches = F.instr(F.col("_file"), F.col("_path")) > 0 if compat else F.col("_file") == F.col("_path")
+    found = sets.select("_files", F.explode("_files").alias("_file")).join(files, matches).select(group, "_files").distinct()
+    # Facts stream past the sets' groups; else a small table of facts would be the one to be broadcast.
+    return keyed.join(found.hint("shuffle_hash"), "_files").select(group, *kept)
 
 
 def fold_aliases(uses: DataFrame, aliases: DataFrame, known: DataFrame, name: str, alias: str, target: str) -> DataFrame:

@@ -116,7 +116,7 @@ def q_module_deps(spark, d):
 @query("""SELECT DISTINCT n_name, p_partkey, p_name FROM part JOIN (SELECT n_name, 'Brand#' || (n_regionkey + 1)::VARCHAR AS pat FROM nation) ON instr(p_brand, pat) > 0""")
 def q_substring_members(spark, d):
     groups = _t(spark, d, "nation").select("n_name", F.concat(F.lit("Brand#"), (F.col("n_regionkey") + 1).cast("string")).alias("pat"))
-    return R.members_by_path(groups, _t(spark, d, "part"), "n_name", "pat", "p_brand", compat=True).select("n_name", "p_partkey", "p_name")
+    return R.members_by_path(groups, _t(spark, d, "part"), "n_name", "pat", "p_brand", compat=True, columns=["p_partkey", "p_name"])
 
 
 # --- aggregates --------------------------------------------------------------------------------

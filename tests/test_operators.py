@@ -162,3 +162,19 @@ def test_members_and_samples(spark):
     a, b = (sorted(r.v for r in R.sample_k(many.repartition(n), ["k"], "v", 10).collect()) for n in (1, 7))
     assert a == b and len(a) == 10
     assert R.named(spark.createDataFrame([("a",), (" ",), (None,)], "n string"), "n").count() == 1
+
+
+def test_members_are_distinct_before_they_meet_groups(spark, tmp_path):
+    groups = spark.createDataFrame([("m", "a"), ("m", "b"), ("n", "b"), (None, "a"), ("n", None)], "module string, path string")
+    facts = spark.createDataFrame([(1, "f", "a"), (1, "f", "b"), (1, "f", "b"), (2, None, "xb"), (3, "g", None), (4, "h", "c"), (5, "i", "ab")], "k long, name string, at string")
+    near = R.members_by_path(groups, facts, "module", "path", "at", compat=True, columns=["k", "name"])
+    assert sorted(near.collect(), key=str) == sorted([("m", 1, "f"), ("n", 1, "f"), (None, 1, "f"), ("m", 2, None), ("n", 2, None), ("m", 5, "i"), ("n", 5, "i"), (None, 5, "i")], key=str)
+    equal = R.members_by_path(groups, facts, "module", "path", "at")
+    assert equal.columns == ["module", "k", "name", "at"]
+    assert sorted(equal.collect(), key=str) == sorted([("m", 1, "f", "a"), (None, 1, "f", "a"), ("m", 1, "f", "b"), ("n", 1, "f", "b")], key=str)
+    for df in (near, equal):
+        assert "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+    # One part under two brands of a nation is one row of the query, as in its SQL.
+    spark.createDataFrame([("N", 0)], "n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(1, "p", "Brand#1"), (1, "p", "Brand#10"), (2, "q", "Brand#2")], "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
+    assert catalogue.QUERIES["q_substring_members"](spark, str(tmp_path)).collect() == [("N", 1, "p")]
