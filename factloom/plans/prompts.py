@@ -11,7 +11,7 @@ import urllib.request
 from collections.abc import Iterator
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,20 +93,26 @@ def render(rows: DataFrame, kind: str, stage: str, key: Column, path: Column, **
 
 
 def complete(prompts: DataFrame, completer: Completer, workers: int | None = None, batch: int = 32) -> DataFrame:
-    """Responses (U1-U3): ``workers`` partitions call at a time, zero-width characters are trimmed."""
-    rows = prompts if workers is None else prompts.repartition(workers)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for some in batches:
-            texts = [None if pd.isna(x) else x for x in some["prompt"]]
-            answers: list[str | None] = []
-            for i in range(0, len(texts), batch):
-                answers += completer(texts[i : i + batch])
-            yield some.assign(response=[None if a is None else a.strip(X.ZERO_WIDTH) for a in answers])
+    """Responses (U1-U3): ``workers`` partitions call at a time, zero-width characters are trimmed.
 
+    Of what Spark hands over, only ``batch`` prompts are Python strings at a time, and their rows go on at once.
+    """
     from pyspark.sql import types as T
 
-    return rows.mapInPandas(run, T.StructType([*prompts.schema.fields, T.StructField("response", T.StringType())]))
+    rows = prompts if workers is None else prompts.repartition(workers)
+    schema = T.StructType([*prompts.schema.fields, T.StructField("response", T.StringType())])
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for given in batches:
+            for i in range(0, given.num_rows, batch):
+                some = given.slice(i, batch)
+                answers = completer(some.column(names.index("prompt")).to_pylist())
+                response = pa.array([None if a is None else a.strip(X.ZERO_WIDTH) for a in answers], pa.string())
+                yield pa.RecordBatch.from_arrays([*some.columns, response], names)
+            given = some = None  # else they stay while the next are read
+
+    return rows.mapInArrow(run, schema)
 
 
 def document(prompts: DataFrame, done: DataFrame | None, completer: Completer, workers: int | None = None) -> DataFrame:

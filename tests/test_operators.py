@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from factloom.functions import text as X
 from factloom.operators import graph, lines, modules
 from factloom.operators import relational as R
-from factloom.plans import catalogue
+from factloom.plans import catalogue, prompts
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -178,3 +178,42 @@ def test_members_are_distinct_before_they_meet_groups(spark, tmp_path):
     spark.createDataFrame([("N", 0)], "n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
     spark.createDataFrame([(1, "p", "Brand#1"), (1, "p", "Brand#10"), (2, "q", "Brand#2")], "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_path}/part.parquet")
     assert catalogue.QUERIES["q_substring_members"](spark, str(tmp_path)).collect() == [("N", 1, "p")]
+
+
+def test_only_a_batch_of_prompts_is_held(spark):
+    class Traced:
+        """Answers with the number of long strings that are held, of those made since the first call."""
+
+        def __call__(self, texts):
+            import tracemalloc
+
+            if not tracemalloc.is_tracing():
+                tracemalloc.start()
+            held = sum(20_000 <= t.size < 21_000 for t in tracemalloc.take_snapshot().traces)
+            if texts[-1] is None:
+                tracemalloc.stop()
+            return [str(held)] * len(texts)
+
+    n = 1000
+    key = F.when(F.col("id") % 2 == 1, F.col("id") + (1 << 53))
+    rows = spark.range(0, n, 1, 1).select(key.alias("key"), F.when(F.col("id") < n - 1, F.concat(F.repeat(F.lit("x"), 20_000), F.col("id"))).alias("prompt"))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "500")
+    try:
+        got = prompts.complete(rows, Traced()).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert [r.prompt and r.prompt.lstrip("x") for r in got] == [*map(str, range(n - 1)), None]
+    assert 0 < max(int(r.response) for r in got) < 100
+    assert [r.key for r in got] == [i + (1 << 53) if i % 2 else None for i in range(n)]
+
+
+def test_prompts_keep_their_other_columns(spark):
+    sql = "SELECT * FROM VALUES (1, 'a', timestamp'2024-01-01 00:00:00', date'2024-01-02', 1.5BD, array('x', null), named_struct('y', 1), X'00ff'), (null, null, null, null, null, null, null, null), (3, '', null, null, null, array(), null, X'') AS t(i, prompt, ts, d, n, l, s, b)"
+    rows = spark.sql(sql)
+    got = prompts.complete(rows, lambda texts: [None if x is None else f"\u200b{x}!\ufeff" for x in texts], batch=2)
+    assert got.columns == [*rows.columns, "response"]
+    assert sorted(map(str, got.drop("response").collect())) == sorted(map(str, rows.collect()))
+    assert {r.prompt: r.response for r in got.collect()} == {"a": "a!", None: None, "": "!"}
+    assert prompts.complete(rows.where("i > 5"), prompts.OfflineStub(), workers=2).collect() == []
